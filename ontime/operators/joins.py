@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ontime.sources.tables import Table, text_bytes
+from ontime.sources.tables import Table, measure
 
 # A dimension is broadcast only when its measured width is below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -16,10 +16,9 @@ SALTS = 32
 
 def measured_bytes(dimension: Table | DataFrame) -> int:
     """Width of a dimension: recorded when it was written, else measured with one aggregate."""
-    if isinstance(dimension, Table) and dimension.text_bytes is not None:
-        return dimension.text_bytes
-    frame = dimension.frame if isinstance(dimension, Table) else dimension
-    return frame.agg(text_bytes(frame)).first()["text_bytes"]
+    if not isinstance(dimension, Table):
+        return measure(dimension)
+    return measure(dimension.frame) if dimension.text_bytes is None else dimension.text_bytes
 
 
 def attach_dimension(

@@ -4,38 +4,36 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
 class Table:
-    """A stored table with the row count, and for dimensions the width, seen while writing it."""
+    """A stored table; dimensions come with the total width of their values."""
 
     frame: DataFrame
     path: str
-    rows: int
     text_bytes: int | None = None
 
 
-def text_bytes(df: DataFrame):
+def text_bytes(df: DataFrame) -> Column:
     """Total width of all values as text, as an aggregate."""
     width = F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in df.columns]))
     return F.coalesce(F.sum(width), F.lit(0)).alias("text_bytes")
 
 
+def measure(df: DataFrame) -> int:
+    return df.agg(text_bytes(df)).first()["text_bytes"]
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def write_table(df: DataFrame, path: str, dimension: bool = False) -> Table:
-    """Replace a Parquet table and read it back, so later plans start from files of known size.
-
-    The measurements ride along with the write; they cost no second pass.
-    """
-    seen = Observation()
-    rows = F.count(F.lit(1)).alias("rows")
-    observed = df.observe(seen, rows, *([text_bytes(df)] if dimension else []))
-    observed.write.mode("overwrite").parquet(path)
-    return Table(read_table(df.sparkSession, path, df.schema), path, **seen.get)
+    """Replace a Parquet table and read it back, so later plans start from files of known size."""
+    df.write.mode("overwrite").parquet(path)
+    stored = read_table(df.sparkSession, path, df.schema)
+    return Table(stored, path, measure(stored) if dimension else None)
