@@ -251,7 +251,7 @@ def feature_vector(ws: Workspace) -> DataFrame:
 def _trained(ws: Workspace, learner: Learner) -> DataFrame:
     rows = []
     for target, label in TARGETS.items():
-        fitted, test = ws.fit(target, learner)
+        fitted, test = ws.fit(label, learner)
         rows.append((target, fitted, evaluate(fitted.model, test, label)))
     return metrics_table(ws.spark, rows)
 
@@ -265,7 +265,7 @@ def train_gbt(ws: Workspace) -> DataFrame:
 
 
 def cv_grid(ws: Workspace) -> DataFrame:
-    fitted, _ = ws.fit("arrival", SMALL_GRID, folds=2)
+    fitted, _ = ws.fit(TARGETS["arrival"], SMALL_GRID, folds=2)
     return ws.spark.createDataFrame(
         [(fitted.name, point["maxDepth"], point["maxIter"], auc) for point, auc in fitted.grid_scores],
         "model string, max_depth int, max_iter int, mean_auc double",

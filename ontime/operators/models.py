@@ -54,12 +54,15 @@ class Fitted:
 
 @dataclass(frozen=True)
 class TrainingSet:
-    """Encoded training rows in a stored table, held in memory while models are fitted."""
+    """Encoded training rows in a stored table; kept in memory from the first fit until released."""
 
     vectors: DataFrame
     encoding: PipelineModel
     label: str
 
+    def hold(self) -> DataFrame:
+        return self.vectors.persist(StorageLevel.MEMORY_AND_DISK)
+
     def release(self) -> None:
         self.vectors.unpersist()
 
@@ -83,8 +86,7 @@ def prepare(
     encoded = encoding.transform(train).select("features", label)
     if partitions:
         encoded = encoded.repartition(partitions)
-    vectors = write_table(encoded, path).frame.persist(StorageLevel.MEMORY_AND_DISK)
-    return TrainingSet(vectors, encoding, label)
+    return TrainingSet(write_table(encoded, path).frame, encoding, label)
 
 
 def _grid(estimator, grid: Mapping[str, list[float]]) -> list[dict]:
@@ -95,7 +97,7 @@ def _grid(estimator, grid: Mapping[str, list[float]]) -> list[dict]:
 def fit(training: TrainingSet, learner: Learner, folds: int = FOLDS, parallelism: int = 2) -> Fitted:
     """Fit one learner; with a grid, the point with the best cross-validated AUC is refitted on all rows."""
     started = time.perf_counter()
-    estimator = learner.estimator(training.label)
+    estimator, vectors = learner.estimator(training.label), training.hold()
     scores = []
     if learner.grid:
         points = _grid(estimator, learner.grid)
@@ -106,11 +108,11 @@ def fit(training: TrainingSet, learner: Learner, folds: int = FOLDS, parallelism
             numFolds=folds,
             seed=SEED,
             parallelism=parallelism,
-        ).fit(training.vectors)
+        ).fit(vectors)
         best = search.bestModel
         scores = [({p.name: v for p, v in point.items()}, float(auc)) for point, auc in zip(points, search.avgMetrics)]
     else:
-        best = estimator.fit(training.vectors)
+        best = estimator.fit(vectors)
     model = PipelineModel(stages=[*training.encoding.stages, best])
     return Fitted(learner.name, model, time.perf_counter() - started, scores)
 

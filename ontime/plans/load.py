@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
-from ontime.operators.star import Star, build_star, delay_reasons
+from ontime.operators.star import DIMENSION_KEYS, Star, build_star, delay_reasons
 from ontime.schemas import DELAY_CAUSES, DELAY_MINUTES, FLIGHTS, KEY_SEPARATOR
 from ontime.sources.files import normalize
 from ontime.sources.tables import Table, write_table
@@ -25,11 +27,19 @@ class Warehouse:
 
 
 def store_star(star: Star, folder: str) -> dict[str, Table]:
-    """Write the star; dimensions are measured on the way, which decides how they are joined."""
-    return {
-        name: write_table(df, f"{folder}/{name}", dimension=name.startswith("dim_"))
-        for name, df in star.tables().items()
-    }
+    """Write the star. The widths of the dimensions are noted; they decide how each is joined later.
+
+    The tables do not depend on each other, so the short dimension jobs run beside the fact table's.
+    """
+
+    def store(name: str, df: DataFrame) -> Table:
+        return write_table(df, f"{folder}/{name}", dimension=name in DIMENSION_KEYS)
+
+    tables = star.tables()
+    in_session = inheritable_thread_target(star.fact_flights.sparkSession)
+    with ThreadPoolExecutor(max_workers=len(tables)) as pool:
+        jobs = {name: pool.submit(in_session(store), name, df) for name, df in tables.items()}
+        return {name: job.result() for name, job in jobs.items()}
 
 
 def store_delay_reasons(causes: DataFrame, folder: str) -> Table:

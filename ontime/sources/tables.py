@@ -32,6 +32,15 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Let all cores work on a scan that splits into fewer pieces than there are cores.
+
+    Input of any size splits into more pieces than that and is left as it is, unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def write_table(df: DataFrame, path: str, dimension: bool = False) -> Table:
     """Replace a Parquet table and read it back, so later plans start from files of known size."""
     df.write.mode("overwrite").parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.schemas import AIRPORTS, DELAY_CAUSES, FLIGHTS
-from ontime.sources.tables import read_table
+from ontime.sources.tables import read_table, spread
 
 # What identifies a flight in the order tables.
 ROW_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
@@ -33,7 +33,7 @@ def flights_with_keys(spark: SparkSession, folder: str) -> DataFrame:
     booked = table("orders").join(table("customer"), F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", "c_nationkey", F.substring("o_orderpriority", 1, 1).alias("cause")
     )
-    flown = table("lineitem").join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    flown = spread(table("lineitem")).join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     joined = flown.join(booked, F.col("l_orderkey") == F.col("o_orderkey"))
 
     cancelled = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7)

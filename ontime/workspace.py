@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ontime import testbed
 from ontime.operators.features import enrich, feature_frame, hash_split
 from ontime.operators.metrics import area_under_roc, confusion, confusion_metrics
-from ontime.operators.models import Fitted, GRADIENT_BOOSTING, Learner, fit, metrics_table, prepare
+from ontime.operators.models import GRADIENT_BOOSTING, Fitted, Learner, TrainingSet, fit, metrics_table, prepare
 from ontime.plans.load import Warehouse, load_warehouse
 from ontime.schemas import FLIGHTS, TARGETS
 from ontime.session import shared_folder
@@ -39,6 +39,7 @@ class Workspace:
         self.spark = spark
         self.source = source
         self.folder = f"{shared_folder(spark)}/{source.strip('/').replace('/', '_')}"
+        self._training: dict[str, TrainingSet] = {}
 
     @cached_property
     def flown(self) -> Table:
@@ -87,18 +88,20 @@ class Workspace:
     def features(self, target: str) -> DataFrame:
         return feature_frame(self.enriched, TARGETS[target])
 
-    def fit(self, target: str, learner: Learner, folds: int = 3) -> tuple[Fitted, DataFrame]:
-        """A learner fitted on the hash split of a target, and the rows held out."""
-        train, test = hash_split(self.features(target))
-        return self._fit(train, TARGETS[target], learner, folds), test
+    def fit(self, label: str, learner: Learner, folds: int = 3) -> tuple[Fitted, DataFrame]:
+        """A learner fitted on the hash split of a label's frame, and the rows held out.
 
-    def _fit(self, train: DataFrame, label: str, learner: Learner, folds: int = 3) -> Fitted:
-        partitions = self.spark.sparkContext.defaultParallelism
-        training = prepare(train, label, f"{self.folder}/vectors_{label}_{learner.name}", partitions)
+        The encoded training rows of a label are stored once and serve every learner.
+        """
+        frame = self.planted if label == PLANTED else feature_frame(self.enriched, label)
+        train, test = hash_split(frame)
+        if label not in self._training:
+            partitions = self.spark.sparkContext.defaultParallelism
+            self._training[label] = prepare(train, label, f"{self.folder}/vectors_{label}", partitions)
         try:
-            return fit(training, learner, folds)
+            return fit(self._training[label], learner, folds), test
         finally:
-            training.release()
+            self._training[label].release()
 
     @property
     def planted(self) -> DataFrame:
@@ -107,8 +110,7 @@ class Workspace:
 
     @cached_property
     def planted_model(self) -> Fitted:
-        train, _ = hash_split(self.planted)
-        return self._fit(train, PLANTED, PLANTED_LEARNER)
+        return self.fit(PLANTED, PLANTED_LEARNER)[0]
 
     def rule_scores(self, target: str) -> dict[str, DataFrame]:
         """Label, score and prediction of each rule over all flights."""
