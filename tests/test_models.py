@@ -1,0 +1,222 @@
+import pytest
+from helpers import rows
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from ontime.operators import features, metrics
+from ontime.operators.models import (
+    GRADIENT_BOOSTING, RANDOM_FOREST, Learner, evaluate, fit, metrics_table, prepare, rows_to_score, score,
+)
+from ontime.plans.training import compare_models, store_comparison
+from ontime.schemas import CATEGORICAL_FEATURES, FEATURES
+from ontime.sinks.outputs import load_model, save_model
+
+LABEL = "is_arrival_delayed"
+FOREST = Learner("RandomForest", RANDOM_FOREST.kind, {"numTrees": 8, "maxDepth": 5})
+BOOSTING = Learner("GBT", GRADIENT_BOOSTING.kind, {"maxIter": 3, "maxDepth": 3})
+
+
+@pytest.fixture(scope="module")
+def enriched(spark):
+    """Facts whose delays follow from hour of the day and distance."""
+    base = spark.range(0, 3000, 1, 4)
+    hour, distance = F.col("id") % 24, (F.col("id") * 7 % 20 + 1) * 100
+    days = F.array(*[F.lit(d) for d in ("Monday", "Friday", "Sunday")])
+    late = (hour >= 17) & (distance > 1000)
+    return base.select(
+        F.concat(F.lit("C"), F.col("id") % 5).alias("carrier_code"),
+        F.concat(F.lit("A"), F.col("id") % 7).alias("origin"),
+        F.concat(F.lit("B"), F.col("id") % 3).alias("destination"),
+        distance.cast("int").alias("distance"),
+        (distance / 8).cast("int").alias("air_time"),
+        F.element_at(days, (F.col("id") % 3 + 1).cast("int")).alias("day_of_week"),
+        (F.col("id") % 3 == 2).alias("is_weekend"),
+        (F.col("id") % 28 + 1).cast("int").alias("day_of_month"),
+        (F.col("id") % 12 + 1).cast("int").alias("month"),
+        F.when(hour >= 17, "Evening").otherwise("Morning").alias("time_of_day"),
+        late.alias("is_arrival_delayed"),
+        (hour >= 17).alias("is_departure_delayed"),
+    ).cache()
+
+
+@pytest.fixture(scope="module")
+def frame(enriched):
+    return features.feature_frame(enriched, LABEL).cache()
+
+
+@pytest.fixture(scope="module")
+def training(frame, tmp_path_factory):
+    train, _ = features.hash_split(frame)
+    return prepare(train, LABEL, str(tmp_path_factory.mktemp("train") / "vectors"), partitions=4)
+
+
+@pytest.fixture(scope="module")
+def boosted(training):
+    return fit(training, BOOSTING)
+
+
+def test_feature_frame_ends_with_the_label_and_has_no_nulls(spark, enriched):
+    broken = enriched.withColumn("air_time", F.when(F.col("month") != 5, F.col("air_time")))
+    frame = features.feature_frame(broken, LABEL)
+    assert frame.columns == [*FEATURES, LABEL]
+    assert dict(frame.dtypes)["is_weekend"] == dict(frame.dtypes)[LABEL] == "double"
+    assert frame.count() == enriched.where("month <> 5").count()
+
+
+def test_feature_list_can_be_changed(enriched):
+    assert features.feature_frame(enriched, LABEL, ["origin", "month"]).columns == ["origin", "month", LABEL]
+
+
+def test_hash_split_does_not_depend_on_the_layout(frame):
+    first, _ = features.hash_split(frame.repartition(9))
+    second, _ = features.hash_split(frame.coalesce(1).orderBy("distance"))
+    assert rows(first) == rows(second)
+
+
+def test_splits_cover_all_rows_and_do_not_overlap(frame):
+    for train, test in (features.hash_split(frame), features.random_split(frame)):
+        assert train.count() + test.count() == frame.count()
+        assert 0.7 < train.count() / frame.count() < 0.9
+        assert train.columns == frame.columns
+    train, test = features.hash_split(frame)
+    assert train.intersect(test).count() == 0
+
+
+def test_hash_split_by_key_keeps_a_key_together(frame):
+    train, test = features.hash_split(frame, "carrier_code", "origin", "month")
+    keys = ["carrier_code", "origin", "month"]
+    assert train.select(*keys).intersect(test.select(*keys)).count() == 0
+
+
+def test_index_is_by_frequency_then_value_and_unseen_values_come_last(spark):
+    seen = spark.createDataFrame([("b",), ("b",), ("c",), ("a",)], "v string")
+    model = features.index_stage(["v"]).fit(seen)
+    got = model.transform(spark.createDataFrame([("a",), ("b",), ("c",), ("new",)], "v string"))
+    assert {r["v"]: r["v_idx"] for r in got.collect()} == {"b": 0.0, "a": 1.0, "c": 2.0, "new": 3.0}
+
+
+def test_one_hot_has_one_slot_per_seen_value_and_none_for_unseen(spark):
+    seen = spark.createDataFrame([("a",), ("b",)], "v string")
+    indexer = features.index_stage(["v"]).fit(seen)
+    encoder = features.one_hot_stage(["v"]).fit(indexer.transform(seen))
+    new = spark.createDataFrame([("new",), ("a",)], "v string")
+    got = encoder.transform(indexer.transform(new)).select("v", vector_to_array("v_ohe").alias("x"))
+    assert {r["v"]: r["x"] for r in got.collect()} == {"new": [0.0, 0.0], "a": [1.0, 0.0]}
+
+
+def test_encoded_width(frame):
+    encoded = features.encoder().fit(frame).transform(frame)
+    levels = sum(frame.select(c).distinct().count() for c in CATEGORICAL_FEATURES)
+    assert encoded.first()["features"].size == levels + 4
+
+
+@pytest.mark.parametrize("learner", [FOREST, BOOSTING], ids=lambda learner: learner.name)
+def test_a_planted_signal_is_learned(training, frame, learner):
+    _, test = features.hash_split(frame)
+    values = evaluate(fit(training, learner).model, test, LABEL)
+    assert values["auc"] > 0.9 and set(metrics.METRICS) < set(values)
+
+
+def test_fits_are_repeatable(training, frame, boosted):
+    again = fit(training, BOOSTING)
+    assert rows(score(again.model, frame)) == rows(score(boosted.model, frame))
+
+
+def test_saved_models_score_the_same(frame, boosted, tmp_path):
+    save_model(boosted.model, str(tmp_path / "m"))
+    assert rows(score(load_model(str(tmp_path / "m")), frame)) == rows(score(boosted.model, frame))
+
+
+def test_loading_a_missing_model_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception):
+        load_model(str(tmp_path / "nothing"))
+
+
+def test_grid_search_scores_every_point_and_refits_the_best(training):
+    learner = Learner("GBT", GRADIENT_BOOSTING.kind, {}, {"maxDepth": [1, 3], "maxIter": [1, 3]})
+    result = fit(training, learner, folds=2)
+    assert [p for p, _ in result.grid_scores] == [
+        {"maxDepth": d, "maxIter": i} for d in (1, 3) for i in (1, 3)
+    ]
+    best, auc = max(result.grid_scores, key=lambda point: point[1])
+    assert auc > 0.9
+    assert result.model.stages[-1].getOrDefault("maxDepth") == best["maxDepth"]
+
+
+def test_default_grids():
+    assert RANDOM_FOREST.grid == {"maxDepth": [5, 10], "numTrees": [50, 100]}
+    assert GRADIENT_BOOSTING.grid == {"maxDepth": [5, 10], "maxIter": [20, 50]}
+    assert RANDOM_FOREST.settings["numTrees"] == 100 and GRADIENT_BOOSTING.settings["maxIter"] == 50
+
+
+def test_rows_given_in_code_are_scored(spark, boosted):
+    row = {
+        "carrier_code": "C1", "origin": "nowhere", "destination": "B1", "distance": 1900, "air_time": 237,
+        "day_of_week": "Sunday", "is_weekend": 1.0, "day_of_month": 3, "month": 4, "time_of_day": "Evening",
+    }
+    late, early = score(boosted.model, rows_to_score(spark, [row, {**row, "distance": 100, "air_time": 12}])).collect()
+    assert late["prediction"] == 1.0 and late["delay_probability"] > 0.5
+    assert early["prediction"] == 0.0 and early["delay_probability"] < 0.5
+
+
+def test_confusion_metrics_equal_the_library_evaluators(frame, boosted):
+    scored = boosted.model.transform(frame.withColumn(LABEL, F.when(F.col("month") == 2, 1.0).otherwise(F.col(LABEL))))
+    ours = metrics.confusion_metrics(metrics.confusion(scored, LABEL)).first()
+    multi = MulticlassClassificationEvaluator(labelCol=LABEL)
+    for name, theirs in [("accuracy", "accuracy"), ("precision", "weightedPrecision"),
+                         ("recall", "weightedRecall"), ("f1", "f1")]:
+        assert ours[name] == pytest.approx(multi.setMetricName(theirs).evaluate(scored), abs=1e-12)
+    auc = BinaryClassificationEvaluator(labelCol=LABEL).evaluate(scored)
+    assert metrics.area_under_roc(scored, LABEL) == pytest.approx(auc, abs=1e-12)
+
+
+@pytest.mark.parametrize("cells", [(0, 0, 5, 0), (5, 0, 0, 0), (0, 5, 0, 5), (0, 0, 0, 0)])
+def test_metrics_of_degenerate_confusion_are_numbers(spark, cells):
+    got = metrics.confusion_metrics(spark.createDataFrame([cells], "tp long, fp long, tn long, fn long")).first()
+    assert all(0.0 <= got[name] <= 1.0 for name in ("accuracy", "precision", "recall", "f1"))
+
+
+def test_exact_auc_by_brute_force(spark):
+    data = [(i * 37 % 101 / 10, float(i * 7 % 3 == 0)) for i in range(300)]
+    pairs = [(p > n) + (p == n) / 2 for p, a in data if a for n, b in data if not b]
+    got = metrics.area_under_roc(spark.createDataFrame(data, "s double, y double"), "y", "s", bins=0)
+    assert got == pytest.approx(sum(pairs) / len(pairs), abs=1e-12)
+
+
+def table(spark, *found):
+    columns = "target string, model string, position int, auc double, accuracy double, precision double, recall double, f1 double"
+    return spark.createDataFrame([(*row, 0.1, 0.2, 0.3, 0.4) for row in found], columns)
+
+
+def test_best_model_per_target_and_first_listed_of_equals(spark):
+    scores = table(spark, ("a", "RandomForest", 0, 0.8), ("a", "GBT", 1, 0.8), ("d", "RandomForest", 2, 0.6), ("d", "GBT", 3, 0.7))
+    assert rows(metrics.best_model(scores).select("target", "model", "auc")) == [("a", "RandomForest", 0.8), ("d", "GBT", 0.7)]
+
+
+def test_metrics_long(spark):
+    long = metrics.metrics_long(table(spark, ("a", "GBT", 0, 0.8)))
+    assert rows(long) == sorted(
+        [("a", "GBT", m, v) for m, v in zip(metrics.METRICS, (0.8, 0.1, 0.2, 0.3, 0.4))], key=repr
+    )
+
+
+def test_comparison_covers_both_targets_and_stores_the_winners(spark, enriched, tmp_path):
+    small = tuple(Learner(l.name, l.kind, {**l.settings, "maxDepth": 3}) for l in (FOREST, BOOSTING))
+    comparison = compare_models(enriched, str(tmp_path / "work"), small)
+    assert rows(comparison.metrics.select("target", "model")) == [
+        ("arrival", "GBT"), ("arrival", "RandomForest"), ("departure", "GBT"), ("departure", "RandomForest"),
+    ]
+    assert {"training_time", "evaluation_time"} < set(comparison.metrics.columns)
+    paths = store_comparison(comparison, str(tmp_path / "out"))
+    assert set(paths) == {"arrival", "departure"}
+    for target, path in paths.items():
+        assert load_model(path).stages[-1].uid == comparison.best()[target].model.stages[-1].uid
+    stored = spark.read.json(str(tmp_path / "out" / "run_metrics"))
+    assert stored.count() == 4
+
+
+def test_metrics_table_keeps_listing_order(spark, boosted):
+    values = {**{m: 0.5 for m in metrics.METRICS}, "evaluation_time": 1.0}
+    got = metrics_table(spark, [("arrival", boosted, values), ("departure", boosted, values)])
+    assert rows(got.select("position", "target")) == [(0, "arrival"), (1, "departure")]
