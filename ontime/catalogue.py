@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -235,13 +236,16 @@ def one_hot(ws: Workspace) -> DataFrame:
 
 
 def feature_vector(ws: Workspace) -> DataFrame:
+    """What the assembled vectors hold, slot by slot: non-zero rows and total."""
     frame = ws.features("arrival")
-    slots = vector_to_array("features")
-    weighted = F.transform(slots, lambda value, position: value * (position + 1))
-    return encoder().fit(frame).transform(frame).select(
-        *FEATURES,
-        F.size(slots).alias("width"),
-        F.aggregate(weighted, F.lit(0.0), lambda total, value: total + value).alias("weighted_sum"),
+    seen = Summarizer.metrics("sum", "numNonZeros").summary(F.col("features"))
+    slots = encoder().fit(frame).transform(frame).agg(seen.alias("seen")).select(
+        F.arrays_zip(
+            vector_to_array("seen.sum").alias("total"), vector_to_array("seen.numNonZeros").alias("n_nonzero")
+        ).alias("slots")
+    )
+    return slots.select(F.posexplode("slots").alias("slot", "value")).select(
+        "slot", F.round("value.total", 3).alias("total"), F.col("value.n_nonzero").cast("bigint").alias("n_nonzero")
     )
 
 
@@ -292,15 +296,9 @@ def model_roundtrip(ws: Workspace) -> DataFrame:
 
 
 def eval_confusion_metrics(ws: Workspace) -> DataFrame:
-    return _union(
-        [
-            metrics.confusion_metrics(metrics.confusion(scored, "label")).select(
-                F.lit(target).alias("target"), F.lit(name).alias("model"), "tp", "fp", "tn", "fn",
-                *[F.round(m, 9).alias(m) for m in ("accuracy", "precision", "recall", "f1")],
-            )
-            for target in TARGETS
-            for name, scored in ws.rule_scores(target).items()
-        ]
+    return metrics.confusion_metrics(metrics.confusion(ws.rule_counts, "target", "model")).select(
+        "target", "model", "tp", "fp", "tn", "fn",
+        *[F.round(m, 9).alias(m) for m in ("accuracy", "precision", "recall", "f1")],
     )
 
 

@@ -68,8 +68,15 @@ def one_hot_stage(categorical: list[str] = CATEGORICAL_FEATURES) -> OneHotEncode
 
 
 def encoder(
-    categorical: list[str] = CATEGORICAL_FEATURES, numeric: list[str] = NUMERIC_FEATURES
+    categorical: list[str] = CATEGORICAL_FEATURES, numeric: list[str] = NUMERIC_FEATURES, one_hot: bool = True
 ) -> Pipeline:
-    """Index, one-hot and assemble. All categories are counted in one pass over the data."""
-    assembler = VectorAssembler(inputCols=[f"{c}_ohe" for c in categorical] + numeric, outputCol="features")
-    return Pipeline(stages=[index_stage(categorical), one_hot_stage(categorical), assembler])
+    """Index, one-hot and assemble. All categories are counted in one pass over the data.
+
+    Tree learners keep a number per vector slot and row. ``one_hot=False`` leaves each category
+    in a single slot, which trees split by groups of values: the same inputs in ten slots
+    instead of one per airport and carrier.
+    """
+    suffix = "ohe" if one_hot else "idx"
+    assembler = VectorAssembler(inputCols=[f"{c}_{suffix}" for c in categorical] + numeric, outputCol="features")
+    encoding = [one_hot_stage(categorical)] if one_hot else []
+    return Pipeline(stages=[index_stage(categorical), *encoding, assembler])

@@ -10,21 +10,34 @@ from pyspark.sql import functions as F
 METRICS = ["auc", "accuracy", "precision", "recall", "f1"]
 
 
-def area_under_roc(scored: DataFrame, label: str, score: str = "rawPrediction", bins: int = 1000) -> float:
-    """Area under the ROC curve. ``bins=0`` keeps every distinct score; the work stays distributed either way."""
+def score_counts(scored: DataFrame, label: str, score: Column, *by: str) -> DataFrame:
+    """Rows per label, prediction and distinct score: all that the metrics below need.
+
+    Equal scores are combined before anything is shuffled.
+    """
+    keys = [*by, F.col(label).alias("label"), F.col("prediction"), score.alias("score")]
+    return scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def area_under_roc(counts: DataFrame, bins: int = 1000) -> float:
+    """Area under the ROC curve of :func:`score_counts`; ``bins=0`` keeps every distinct score."""
     return BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol=score, metricName="areaUnderROC", numBins=bins
-    ).evaluate(scored)
-
-
-def confusion(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    """The four cells of the confusion matrix, in one pass."""
-    actual, predicted = F.col(label) == 1, F.col(prediction) == 1
-    return scored.agg(
-        F.count_if(actual & predicted).alias("tp"),
-        F.count_if(~actual & predicted).alias("fp"),
-        F.count_if(~actual & ~predicted).alias("tn"),
-        F.count_if(actual & ~predicted).alias("fn"),
+        labelCol="label", rawPredictionCol="score", weightCol="n", metricName="areaUnderROC", numBins=bins
+    ).evaluate(counts)
+
+
+def confusion(counts: DataFrame, *by: str) -> DataFrame:
+    """The four cells of the confusion matrix of :func:`score_counts`, in one pass."""
+    actual, predicted = F.col("label") == 1, F.col("prediction") == 1
+
+    def cell(condition: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).alias(name)
+
+    return counts.groupBy(*by).agg(
+        cell(actual & predicted, "tp"),
+        cell(~actual & predicted, "fp"),
+        cell(~actual & ~predicted, "tn"),
+        cell(actual & ~predicted, "fn"),
     )
 
 
@@ -43,12 +56,13 @@ def confusion_metrics(cells: DataFrame) -> DataFrame:
     precision = _ratio(tp, tp + fp), _ratio(tn, tn + fn)
     recall = _ratio(tp, tp + fn), _ratio(tn, tn + fp)
     f1 = [_ratio(2 * p * r, p + r) for p, r in zip(precision, recall)]
-    return cells.select(
-        "tp", "fp", "tn", "fn",
-        _ratio(tp + tn, total).alias("accuracy"),
-        weighted(*precision).alias("precision"),
-        weighted(*recall).alias("recall"),
-        weighted(*f1).alias("f1"),
+    return cells.withColumns(
+        {
+            "accuracy": _ratio(tp + tn, total),
+            "precision": weighted(*precision),
+            "recall": weighted(*recall),
+            "f1": weighted(*f1),
+        }
     )
 
 

@@ -17,12 +17,20 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.operators.features import SEED, encoder
-from ontime.operators.metrics import METRICS, area_under_roc, confusion, confusion_metrics
+from ontime.operators.metrics import METRICS, area_under_roc, confusion, confusion_metrics, score_counts
 from ontime.schemas import CATEGORICAL_FEATURES, FEATURE_ROW, NUMERIC_FEATURES
 from ontime.session import enable_checkpoints
 from ontime.sources.tables import write_table
 
 
+# How trees are grown, not what they look like: with more memory per task, each level of a deep
+# tree takes fewer passes over the rows.
+EXECUTION = {"maxMemoryInMB": 512}
+
+# Split candidates per number; one-hot inputs never need more.
+BINS = 32
+
+
 @dataclass(frozen=True)
 class Learner:
     """A classifier with its settings and the grid to search."""
@@ -32,8 +40,8 @@ class Learner:
     settings: Mapping[str, float]
     grid: Mapping[str, list[float]] = field(default_factory=dict)
 
-    def estimator(self, label: str):
-        return self.kind(labelCol=label, featuresCol="features", seed=SEED, **self.settings)
+    def estimator(self, label: str, bins: int):
+        return self.kind(labelCol=label, featuresCol="features", seed=SEED, maxBins=bins, **EXECUTION, **self.settings)
 
 
 # Settings and search grids of the two learners, and the number of folds.
@@ -59,6 +67,7 @@ class TrainingSet:
     vectors: DataFrame
     encoding: PipelineModel
     label: str
+    bins: int = BINS
 
     def hold(self) -> DataFrame:
         return self.vectors.persist(StorageLevel.MEMORY_AND_DISK)
@@ -74,6 +83,7 @@ def prepare(
     partitions: int | None = None,
     categorical: list[str] = CATEGORICAL_FEATURES,
     numeric: list[str] = NUMERIC_FEATURES,
+    one_hot: bool = True,
 ) -> TrainingSet:
     """Encode the training rows once, for every fit of every learner.
 
@@ -82,11 +92,13 @@ def prepare(
     their order: folds come out the same when an executor is lost and rows are read again.
     """
     enable_checkpoints(train.sparkSession)
-    encoding = encoder(categorical, numeric).fit(train)
+    encoding = encoder(categorical, numeric, one_hot).fit(train)
     encoded = encoding.transform(train).select("features", label)
     if partitions:
         encoded = encoded.repartition(partitions)
-    return TrainingSet(write_table(encoded, path).frame, encoding, label)
+    # A category in one slot needs a bin per value and one for unseen values.
+    bins = BINS if one_hot else max(BINS, *[len(labels) + 1 for labels in encoding.stages[0].labelsArray])
+    return TrainingSet(write_table(encoded, path).frame, encoding, label, bins)
 
 
 def _grid(estimator, grid: Mapping[str, list[float]]) -> list[dict]:
@@ -97,7 +109,7 @@ def _grid(estimator, grid: Mapping[str, list[float]]) -> list[dict]:
 def fit(training: TrainingSet, learner: Learner, folds: int = FOLDS, parallelism: int = 2) -> Fitted:
     """Fit one learner; with a grid, the point with the best cross-validated AUC is refitted on all rows."""
     started = time.perf_counter()
-    estimator, vectors = learner.estimator(training.label), training.hold()
+    estimator, vectors = learner.estimator(training.label, training.bins), training.hold()
     scores = []
     if learner.grid:
         points = _grid(estimator, learner.grid)
@@ -118,15 +130,16 @@ def fit(training: TrainingSet, learner: Learner, folds: int = FOLDS, parallelism
 
 
 def evaluate(model: PipelineModel, test: DataFrame, label: str, bins: int = 1000) -> dict[str, float]:
-    """The five metrics plus scoring time. Rows are scored once; all metrics read the kept scores."""
+    """The five metrics plus scoring time. Rows are scored once and kept as counts per score."""
     started = time.perf_counter()
-    scored = model.transform(test).select(label, "rawPrediction", "prediction").persist(StorageLevel.MEMORY_AND_DISK)
+    late = vector_to_array("rawPrediction")[1]
+    counts = score_counts(model.transform(test), label, late).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cells = confusion_metrics(confusion(scored, label)).first().asDict()
+        cells = confusion_metrics(confusion(counts)).first().asDict()
         seconds = time.perf_counter() - started
-        values = {"auc": area_under_roc(scored, label, bins=bins), **cells}
+        values = {"auc": area_under_roc(counts, bins), **cells}
     finally:
-        scored.unpersist()
+        counts.unpersist()
     return {**{name: values[name] for name in METRICS}, "evaluation_time": seconds}
 
 

@@ -354,7 +354,7 @@ FROM (SELECT *, CAST('0x' || substr(sha256(concat_ws('-', l_orderkey, l_partkey,
 _INDEXES = ",".join(
     f"""
 i_{c} AS (
-  SELECT value, row_number() OVER (ORDER BY n DESC, value) - 1 AS idx, count(*) OVER () AS width
+  SELECT value, n, row_number() OVER (ORDER BY n DESC, value) - 1 AS idx, count(*) OVER () AS width
   FROM (SELECT CAST({c} AS VARCHAR) AS value, count(*) AS n FROM model_rows GROUP BY 1))"""
     for c in _CATEGORIES
 )
@@ -367,21 +367,22 @@ def _with_tables(tables: str, body: str) -> str:
     return _sql("").rstrip() + "," + tables + "\n" + body
 
 
-def _weighted_sum() -> str:
-    terms, offset = [], "0"
+def _slots() -> str:
+    """One row per vector slot: the categories' values in turn, then the numbers."""
+    parts, offset = [], "0"
     for c in _CATEGORIES:
-        terms.append(f"{offset} + i_{c}.idx + 1")
-        offset += f" + i_{c}.width"
-    terms += [f"m.{n} * ({offset} + {i})" for i, n in enumerate(_NUMBERS, start=1)]
-    return f"CAST({' + '.join(terms)} AS DOUBLE)"
+        parts.append(
+            f"SELECT CAST({offset} + idx AS INTEGER) AS slot, CAST(n AS DOUBLE) AS total, n AS n_nonzero FROM i_{c}"
+        )
+        offset += f" + (SELECT count(*) FROM i_{c})"
+    for i, name in enumerate(_NUMBERS):
+        parts.append(
+            f"SELECT CAST({offset} + {i} AS INTEGER), CAST(sum({name}) AS DOUBLE), "
+            f"count(*) FILTER (WHERE {name} <> 0) FROM model_rows"
+        )
+    return _union(parts)
 
 
-_FEATURE_VECTOR = (
-    f"SELECT {', '.join('m.' + c.strip() for c in _FEATURES.split(','))}, "
-    f"CAST({' + '.join(f'i_{c}.width' for c in _CATEGORIES)} + {len(_NUMBERS)} AS INTEGER) AS width, "
-    f"{_weighted_sum()} AS weighted_sum {_WITH_INDEXES}"
-)
-
 # -- metrics of the rule scores
 
 _RULES = {
@@ -486,7 +487,7 @@ def oracle_sql() -> dict[str, str]:
             )
             + " " + _WITH_INDEXES,
         ),
-        "feature_vector": _with_tables(_INDEXES, _FEATURE_VECTOR),
+        "feature_vector": _with_tables(_INDEXES, _slots()),
         "score_batch": _sql(
             f"SELECT {_FEATURES}, CAST(distance > 1000 AS DOUBLE) AS is_long_haul, "
             "CAST(distance > 1000 AS DOUBLE) AS prediction FROM model_rows"

@@ -33,12 +33,13 @@ def compare_models(
     folds: int = FOLDS,
     parallelism: int = 2,
     partitions: int | None = None,
+    one_hot: bool = True,
 ) -> Comparison:
     """Fit every learner for every target on a content-hash split and evaluate on the held-out rows."""
     fitted, rows = {}, []
     for target, label in targets.items():
         train, test = hash_split(feature_frame(enriched, label))
-        training = prepare(train, label, f"{folder}/train_{target}", partitions)
+        training = prepare(train, label, f"{folder}/train_{target}", partitions, one_hot=one_hot)
         try:
             for learner in learners:
                 result = fit(training, learner, folds, parallelism)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ontime import testbed
 from ontime.operators.features import enrich, feature_frame, hash_split
-from ontime.operators.metrics import area_under_roc, confusion, confusion_metrics
+from ontime.operators.metrics import area_under_roc, confusion, confusion_metrics, score_counts
 from ontime.operators.models import GRADIENT_BOOSTING, Fitted, Learner, TrainingSet, fit, metrics_table, prepare
 from ontime.plans.load import Warehouse, load_warehouse
 from ontime.schemas import FLIGHTS, TARGETS
@@ -112,27 +112,31 @@ class Workspace:
     def planted_model(self) -> Fitted:
         return self.fit(PLANTED, PLANTED_LEARNER)[0]
 
-    def rule_scores(self, target: str) -> dict[str, DataFrame]:
-        """Label, score and prediction of each rule over all flights."""
-        label = F.col(TARGETS[target]).cast("double").alias("label")
-        return {
-            name: self.enriched.select(
-                label,
+    @cached_property
+    def rule_counts(self) -> DataFrame:
+        """Score counts of every rule over all flights, from one pass over the facts."""
+        rules = [
+            F.struct(
+                F.lit(target).alias("target"), F.lit(name).alias("model"), F.lit(position).alias("position"),
+                F.col(TARGETS[target]).cast("double").alias("label"),
                 F.col(score).cast("double").alias("score"),
                 (F.col(score).cast("double") > limit).cast("double").alias("prediction"),
             )
-            for name, score, limit in RULES[target]
-        }
+            for target, named in RULES.items()
+            for position, (name, score, limit) in enumerate(named)
+        ]
+        scored = self.enriched.select(F.inline(F.array(*rules)))
+        counts = score_counts(scored, "label", F.col("score"), "target", "model", "position")
+        return write_table(counts, f"{self.folder}/rule_counts").frame
 
     @cached_property
     def rule_metrics(self) -> DataFrame:
+        cells = confusion_metrics(confusion(self.rule_counts, "target", "model", "position"))
         rows = []
-        for target in RULES:
-            for name, scored in self.rule_scores(target).items():
-                values = confusion_metrics(confusion(scored, "label")).first().asDict()
-                values["auc"] = area_under_roc(scored, "label", score="score", bins=0)
-                values["evaluation_time"] = 0.0
-                rows.append((target, Fitted(name, None, 0.0, []), values))
+        for row in cells.orderBy("target", "position").collect():
+            mine = self.rule_counts.where((F.col("target") == row["target"]) & (F.col("model") == row["model"]))
+            values = {**row.asDict(), "auc": area_under_roc(mine, bins=0), "evaluation_time": 0.0}
+            rows.append((row["target"], Fitted(row["model"], None, 0.0, []), values))
         return metrics_table(self.spark, rows)
 
 

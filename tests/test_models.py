@@ -111,6 +111,21 @@ def test_encoded_width(frame):
     assert encoded.first()["features"].size == levels + 4
 
 
+def test_one_slot_per_category_learns_the_same(frame, tmp_path):
+    train, test = features.hash_split(frame)
+    compact = prepare(train, LABEL, str(tmp_path / "vectors"), partitions=4, one_hot=False)
+    assert compact.vectors.first()["features"].size == 10
+    assert evaluate(fit(compact, BOOSTING).model, test, LABEL)["auc"] > 0.9
+    unseen = test.withColumn("origin", F.lit("nowhere"))
+    assert score(fit(compact, BOOSTING).model, unseen).count() == test.count()
+
+
+def test_bins_grow_with_the_widest_category(spark, frame, tmp_path):
+    wide = frame.withColumn("carrier_code", F.concat(F.lit("C"), (F.monotonically_increasing_id() % 90).cast("string")))
+    assert prepare(wide, LABEL, str(tmp_path / "a"), one_hot=False).bins == 91
+    assert prepare(wide, LABEL, str(tmp_path / "b")).bins == 32
+
+
 @pytest.mark.parametrize("learner", [FOREST, BOOSTING], ids=lambda learner: learner.name)
 def test_a_planted_signal_is_learned(training, frame, learner):
     _, test = features.hash_split(frame)
@@ -162,13 +177,15 @@ def test_rows_given_in_code_are_scored(spark, boosted):
 
 def test_confusion_metrics_equal_the_library_evaluators(frame, boosted):
     scored = boosted.model.transform(frame.withColumn(LABEL, F.when(F.col("month") == 2, 1.0).otherwise(F.col(LABEL))))
-    ours = metrics.confusion_metrics(metrics.confusion(scored, LABEL)).first()
+    counts = metrics.score_counts(scored, LABEL, vector_to_array("rawPrediction")[1])
+    assert counts.count() < scored.count()
+    ours = metrics.confusion_metrics(metrics.confusion(counts)).first()
     multi = MulticlassClassificationEvaluator(labelCol=LABEL)
     for name, theirs in [("accuracy", "accuracy"), ("precision", "weightedPrecision"),
                          ("recall", "weightedRecall"), ("f1", "f1")]:
         assert ours[name] == pytest.approx(multi.setMetricName(theirs).evaluate(scored), abs=1e-12)
     auc = BinaryClassificationEvaluator(labelCol=LABEL).evaluate(scored)
-    assert metrics.area_under_roc(scored, LABEL) == pytest.approx(auc, abs=1e-12)
+    assert metrics.area_under_roc(counts) == pytest.approx(auc, abs=1e-12)
 
 
 @pytest.mark.parametrize("cells", [(0, 0, 5, 0), (5, 0, 0, 0), (0, 5, 0, 5), (0, 0, 0, 0)])
@@ -180,7 +197,8 @@ def test_metrics_of_degenerate_confusion_are_numbers(spark, cells):
 def test_exact_auc_by_brute_force(spark):
     data = [(i * 37 % 101 / 10, float(i * 7 % 3 == 0)) for i in range(300)]
     pairs = [(p > n) + (p == n) / 2 for p, a in data if a for n, b in data if not b]
-    got = metrics.area_under_roc(spark.createDataFrame(data, "s double, y double"), "y", "s", bins=0)
+    scored = spark.createDataFrame(data, "s double, y double").withColumn("prediction", F.lit(0.0))
+    got = metrics.area_under_roc(metrics.score_counts(scored, "y", F.col("s")), bins=0)
     assert got == pytest.approx(sum(pairs) / len(pairs), abs=1e-12)
 
 
