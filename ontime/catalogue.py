@@ -15,8 +15,7 @@ from ontime.operators import metrics, quality, star
 from ontime.operators.features import encoder, index_stage, one_hot_stage, with_bucket
 from ontime.operators.models import GRADIENT_BOOSTING, RANDOM_FOREST, Learner, evaluate, metrics_table, score
 from ontime.plans import reports
-from ontime.plans.load import Warehouse
-from ontime.schemas import CATEGORICAL_FEATURES, DELAY_CAUSES, FEATURES, FLIGHTS, TARGETS
+from ontime.schemas import AIRPORTS, CATEGORICAL_FEATURES, DELAY_CAUSES, FEATURES, FLIGHTS, TARGETS
 from ontime.sinks.outputs import load_model, register_views, save_model, write_json
 from ontime.sources.files import conform, fill_nulls, normalize, scan_csv
 from ontime.sources.tables import read_table
@@ -100,7 +99,7 @@ def dim_carrier(ws: Workspace) -> DataFrame:
 
 
 def dim_airport(ws: Workspace) -> DataFrame:
-    return star.airports(ws.airports)
+    return star.airports(conform(scan_csv(ws.spark, ws.airports_csv), AIRPORTS))
 
 
 def dim_date(ws: Workspace) -> DataFrame:
@@ -149,7 +148,7 @@ def sink_delays_roundtrip(ws: Workspace) -> DataFrame:
 
 
 def report_views(ws: Workspace) -> DataFrame:
-    built = {name: build(ws.warehouse) for name, build in REPORTS.items()}
+    built = {name: build(ws.warehouse) for name, build in reports.REPORTS.items()}
     return _union(
         [
             ws.spark.table(name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("view_name"), "n_rows")
@@ -161,35 +160,19 @@ def report_views(ws: Workspace) -> DataFrame:
 # -- reports
 
 
-def _in_double(report: DataFrame) -> DataFrame:
-    return report.withColumns({name: F.col(name).cast("double") for name in reports.CAUSE_SHARES})
-
-
-REPORTS: dict[str, Callable[[Warehouse], DataFrame]] = {
-    "flights_summary": lambda w: reports.flight_list(
-        w["fact_flights"], *[w.tables[d] for d in ("dim_carrier", "dim_date", "dim_route", "dim_time")]
-    ),
-    "rp_airport_depart_delays": lambda w: reports.airport_departure_delays(
-        w["fact_flights"], w["dim_route"], w["dim_airport"]
-    ),
-    "rp_airport_arrival_delays": lambda w: reports.airport_arrival_delays(
-        w["fact_flights"], w["dim_route"], w["dim_airport"]
-    ),
-    "rp_carrier_delays": lambda w: reports.carrier_delays(w["fact_flights"], w["dim_carrier"]),
-    "rp_monthly_delays": lambda w: reports.monthly_delays(w["fact_flights"], w["dim_date"]),
-    "rp_routes_by_delay": lambda w: reports.route_delays(w["fact_flights"], w["dim_route"], w["dim_airport"]),
-    "rp_delay_reasons_by_time": lambda w: _in_double(reports.delay_reasons_by_month(w["delay_reasons"])),
-    "rp_delay_reasons_by_airport": lambda w: _in_double(
-        reports.delay_reasons_by_airport(w["delay_reasons"], w["dim_airport"])
-    ),
-    "delay_reason_summary": lambda w: reports.delay_reason_list(
-        w["delay_reasons"], w.tables["dim_carrier"], w.tables["dim_airport"]
-    ),
-}
+def report(name: str) -> Callable[[Workspace], DataFrame]:
+    """A report as registered: decimal percentages as doubles."""
+
+    def build(ws: Workspace) -> DataFrame:
+        found = reports.REPORTS[name](ws.warehouse)
+        decimals = [c for c, kind in found.dtypes if kind.startswith("decimal")]
+        return found.withColumns({c: F.col(c).cast("double") for c in decimals})
+
+    return build
 
 
 def rp_monthly_delays_packed_key(ws: Workspace) -> DataFrame:
-    return REPORTS["rp_monthly_delays"](ws.packed_warehouse)
+    return reports.REPORTS["rp_monthly_delays"](ws.packed_warehouse)
 
 
 # -- model inputs
@@ -336,7 +319,7 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
             eval_confusion_metrics, eval_auc, best_model, metrics_long, run_metrics_json,
         )
     },
-    **{name: (lambda ws, build=build: build(ws.warehouse)) for name, build in REPORTS.items()},
+    **{name: report(name) for name in reports.REPORTS},
 }
 
 

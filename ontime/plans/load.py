@@ -6,12 +6,16 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ontime.operators.star import DIMENSION_KEYS, Star, build_star, delay_reasons
-from ontime.schemas import DELAY_CAUSES, DELAY_MINUTES, FLIGHTS, KEY_SEPARATOR
-from ontime.sources.files import normalize
-from ontime.sources.tables import Table, write_table
+from ontime.schemas import AIRPORTS, DELAY_CAUSES, DELAY_MINUTES, FLIGHTS, KEY_SEPARATOR
+from ontime.sources.files import conform, normalize, scan_csv
+from ontime.sources.tables import Table, read_table, write_table
+
+# Names of the input files.
+FLIGHTS_FILE, CAUSES_FILE, AIRPORTS_FILE = "flight_data.csv", "delay_cause.csv", "airports.csv"
+TABLES = [*DIMENSION_KEYS, "fact_flights", "delay_reasons"]
 
 
 @dataclass(frozen=True)
@@ -63,3 +67,17 @@ def load_warehouse(
     tables = store_star(build_star(conformed.frame, airports, sep, delay_minutes), folder)
     tables["delay_reasons"] = store_delay_reasons(causes, folder)
     return Warehouse(conformed, tables)
+
+
+def load_files(spark: SparkSession, data: str, folder: str, **options) -> Warehouse:
+    """The warehouse from a folder with the three CSV inputs."""
+    airports = conform(scan_csv(spark, f"{data}/{AIRPORTS_FILE}"), AIRPORTS)
+    flights, causes = (scan_csv(spark, f"{data}/{name}") for name in (FLIGHTS_FILE, CAUSES_FILE))
+    return load_warehouse(flights, airports, causes, folder, **options)
+
+
+def open_warehouse(spark: SparkSession, folder: str) -> Warehouse:
+    """A warehouse loaded earlier. Widths of dimensions are measured when a join needs them."""
+    stored = {name: f"{folder}/{name}" for name in ["flights", *TABLES]}
+    tables = {name: Table(read_table(spark, path), path) for name, path in stored.items()}
+    return Warehouse(tables.pop("flights"), tables)

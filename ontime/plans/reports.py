@@ -9,11 +9,14 @@ joining row by row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.measures import percentage, share
 from ontime.operators.joins import attach_dimension
+from ontime.plans.load import Warehouse
 from ontime.sources.tables import Table
 
 # Report name of each summed delay-cause measure, then the percentages and
@@ -180,3 +183,25 @@ def delay_reason_list(
         "total_arrivals", "total_delays", "carrier_cause_delay", "weather_cause_delay", "nas_cause_delay",
         "security_cause_delay", "late_aircraft_cause_delay", "total_cancellations", "total_diversions",
     )
+
+
+# Every report by name, over a loaded warehouse.
+REPORTS: dict[str, Callable[[Warehouse], DataFrame]] = {
+    "flights_summary": lambda w: flight_list(
+        w["fact_flights"], *[w.tables[d] for d in ("dim_carrier", "dim_date", "dim_route", "dim_time")]
+    ),
+    "rp_airport_depart_delays": lambda w: airport_departure_delays(
+        w["fact_flights"], w["dim_route"], w["dim_airport"]
+    ),
+    "rp_airport_arrival_delays": lambda w: airport_arrival_delays(
+        w["fact_flights"], w["dim_route"], w["dim_airport"]
+    ),
+    "rp_carrier_delays": lambda w: carrier_delays(w["fact_flights"], w["dim_carrier"]),
+    "rp_monthly_delays": lambda w: monthly_delays(w["fact_flights"], w["dim_date"]),
+    "rp_routes_by_delay": lambda w: route_delays(w["fact_flights"], w["dim_route"], w["dim_airport"]),
+    "rp_delay_reasons_by_time": lambda w: delay_reasons_by_month(w["delay_reasons"]),
+    "rp_delay_reasons_by_airport": lambda w: delay_reasons_by_airport(w["delay_reasons"], w["dim_airport"]),
+    "delay_reason_summary": lambda w: delay_reason_list(
+        w["delay_reasons"], w.tables["dim_carrier"], w.tables["dim_airport"]
+    ),
+}

@@ -51,10 +51,19 @@ def compare_models(
 
 
 def store_comparison(comparison: Comparison, folder: str) -> dict[str, str]:
-    """Save the best model per target and the metrics of all; returns the model folders."""
+    """Save the best model per target, its description, and the metrics of all models.
+
+    Returns the model folders. ``run_metrics`` and ``best_models`` are JSON.
+    """
     write_json(comparison.metrics, f"{folder}/run_metrics")
-    paths = {}
-    for target, chosen in comparison.best().items():
-        paths[target] = f"{folder}/{target}_{chosen.name}"
-        save_model(chosen.model, paths[target])
+    chosen = comparison.best()
+    paths = {target: f"{folder}/{target}_{fitted.name}" for target, fitted in chosen.items()}
+    for target, fitted in chosen.items():
+        save_model(fitted.model, paths[target])
+    spark = comparison.metrics.sparkSession
+    saved = spark.createDataFrame(
+        [(target, chosen[target].name, path) for target, path in paths.items()],
+        "target string, model string, model_path string",
+    )
+    write_json(saved.join(comparison.metrics, ["target", "model"]), f"{folder}/best_models")
     return paths

@@ -75,9 +75,13 @@ class Workspace:
     def causes_csv(self) -> str:
         return self._csv(self.causes, "delay_cause")
 
-    def _csv(self, df: DataFrame, name: str) -> str:
-        path = f"{self.folder}/csv/{name}"
-        df.write.mode("overwrite").csv(path, header=True, nullValue="NA")
+    @cached_property
+    def airports_csv(self) -> str:
+        return self._csv(self.airports, "airports", null_text="")
+
+    def _csv(self, df: DataFrame, name: str, null_text: str = "NA") -> str:
+        path = f"{self.folder}/csv/{name}.csv"
+        df.write.mode("overwrite").csv(path, header=True, nullValue=null_text)
         return path
 
     @property

@@ -232,6 +232,9 @@ def test_comparison_covers_both_targets_and_stores_the_winners(spark, enriched,
         assert load_model(path).stages[-1].uid == comparison.best()[target].model.stages[-1].uid
     stored = spark.read.json(str(tmp_path / "out" / "run_metrics"))
     assert stored.count() == 4
+    described = spark.read.json(str(tmp_path / "out" / "best_models"))
+    assert {r["target"]: r["model_path"] for r in described.collect()} == paths
+    assert {*metrics.METRICS, "training_time", "evaluation_time"} < set(described.columns)
 
 
 def test_metrics_table_keeps_listing_order(spark, boosted):
