@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Surrogate keys are 64 characters wide. A dictionary page of this size holds a quarter of a million
+# of them; beyond the default page, each row would carry its key in full.
+WRITE_OPTIONS = {"parquet.dictionary.page.size": str(16 * 1024 * 1024)}
+
+
 @dataclass(frozen=True)
 class Table:
     """A stored table; dimensions come with the total width of their values."""
@@ -43,6 +48,6 @@ def spread(df: DataFrame) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, dimension: bool = False) -> Table:
     """Replace a Parquet table and read it back, so later plans start from files of known size."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**WRITE_OPTIONS).parquet(path)
     stored = read_table(df.sparkSession, path, df.schema)
     return Table(stored, path, measure(stored) if dimension else None)

@@ -55,3 +55,11 @@ def test_everything_is_staged_below_the_configured_folder(spark):
     folder = shared_folder(spark)
     assert folder.startswith(spark.conf.get("spark.checkpoint.dir") + "/ontime-")
     assert folder == shared_folder(spark)
+
+
+def test_wide_keys_are_stored_once_per_file(spark, tmp_path):
+    """Forty thousand distinct keys, each on ten rows: far less than the keys written out in full."""
+    keys = spark.range(0, 400_000, 1, 1).select(F.sha2((F.col("id") % 40_000).cast("string"), 256).alias("route_key"))
+    write_table(keys, str(tmp_path / "t"))
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    assert size < 400_000 * 64 / 5
