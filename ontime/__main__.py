@@ -14,7 +14,7 @@ import os
 from pyspark.sql import SparkSession
 
 from ontime.operators.features import enrich
-from ontime.operators.models import score
+from ontime.operators.models import PARALLELISM, score
 from ontime.plans.load import load_files, open_warehouse
 from ontime.plans.reports import REPORTS
 from ontime.plans.training import compare_models, store_comparison
@@ -80,7 +80,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--warehouse", required=True)
     job.add_argument("--out", required=True)
     job.add_argument("--partitions", type=int)
-    job.add_argument("--parallelism", type=int, default=2)
+    job.add_argument("--parallelism", type=int, default=PARALLELISM)
     job.add_argument("--compact", action="store_true")
 
     job = jobs.add_parser("score")

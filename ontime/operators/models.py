@@ -51,6 +51,9 @@ RANDOM_FOREST = Learner(
 GRADIENT_BOOSTING = Learner("GBT", GBTClassifier, {"maxIter": 50}, {"maxDepth": [5, 10], "maxIter": [20, 50]})
 FOLDS = 3
 
+# Fits that run at the same time: the small levels of one tree leave room for those of another.
+PARALLELISM = 4
+
 
 @dataclass(frozen=True)
 class Fitted:
@@ -106,7 +109,7 @@ def _grid(estimator, grid: Mapping[str, list[float]]) -> list[dict]:
     return [{estimator.getParam(name): value for name, value in zip(grid, point)} for point in points]
 
 
-def fit(training: TrainingSet, learner: Learner, folds: int = FOLDS, parallelism: int = 2) -> Fitted:
+def fit(training: TrainingSet, learner: Learner, folds: int = FOLDS, parallelism: int = PARALLELISM) -> Fitted:
     """Fit one learner; with a grid, the point with the best cross-validated AUC is refitted on all rows."""
     started = time.perf_counter()
     estimator, vectors = learner.estimator(training.label, training.bins), training.hold()

@@ -255,8 +255,8 @@ def _pct(part: str, whole: str) -> str:
 
 
 _COUNTS = """count(*) AS total_flights,
-  count(*) FILTER (WHERE f.is_departure_delayed) AS departure_delayed_flights,
-  count(*) FILTER (WHERE f.is_arrival_delayed) AS arrival_delayed_flights"""
+  CAST(count_if(is_departure_delayed) AS BIGINT) AS departure_delayed_flights,
+  CAST(count_if(is_arrival_delayed) AS BIGINT) AS arrival_delayed_flights"""
 _PERCENTAGES = (
     f"{_pct('departure_delayed_flights', 'total_flights')} AS departure_delay_percentage, "
     f"{_pct('arrival_delayed_flights', 'total_flights')} AS arrival_delay_percentage"
@@ -265,12 +265,12 @@ _PERCENTAGES = (
 
 def _airport_report(role: str, movement: str, flag: str) -> str:
     return f"""
-SELECT a.airport_code, a.airport_name, a.city, a.country, m.total AS total_{movement}s, m.late AS delayed_{movement}s,
-  {_pct('m.late', 'm.total')} AS {movement}_delay_percentage
-FROM dim_airport a JOIN (
-  SELECT r.{role} AS code, count(*) AS total, count(*) FILTER (WHERE f.{flag}) AS late
-  FROM fact_flights f JOIN dim_route r ON f.route_key = r.route_key GROUP BY r.{role}
-) m ON a.airport_code = m.code"""
+SELECT airport_code, airport_name, city, country, total_{movement}s, delayed_{movement}s,
+  {_pct(f"delayed_{movement}s", f"total_{movement}s")} AS {movement}_delay_percentage
+FROM (
+  SELECT {role} AS airport_code, count(*) AS total_{movement}s, CAST(count_if({flag}) AS BIGINT) AS delayed_{movement}s
+  FROM fact_flights JOIN dim_route USING (route_key) GROUP BY {role}
+) JOIN dim_airport USING (airport_code)"""
 
 
 _TOTALS = {
@@ -283,7 +283,7 @@ _TOTALS = {
 
 
 def _cause_report(keys: str, source: str) -> str:
-    sums = ", ".join(f"sum(CAST(d.{m} AS DOUBLE)) AS {t}" for t, m in _TOTALS.items())
+    sums = ", ".join(f"sum(CAST({m} AS DOUBLE)) AS {t}" for t, m in _TOTALS.items())
 
     def share(part: str, whole: str) -> str:
         ratio = f"CAST({part} / nullif({whole}, 0) * 100 AS VARCHAR)"
@@ -298,43 +298,37 @@ def _cause_report(keys: str, source: str) -> str:
 
 _REPORTS = {
     "flights_summary": """
-SELECT f.flight_number, f.tail_number, c.carrier_code, c.carrier_name, d.date, d.day_of_week, d.month, d.year,
-  d.quarter, r.origin, r.destination, r.distance, t.formatted_time, t.time_of_day,
-  f.is_departure_delayed, f.is_arrival_delayed
-FROM fact_flights f JOIN dim_carrier c ON f.carrier_code = c.carrier_code JOIN dim_date d ON f.date_code = d.date_code
-JOIN dim_route r ON f.route_key = r.route_key JOIN dim_time t ON f.time_id = t.time_id""",
+SELECT flight_number, tail_number, carrier_code, carrier_name, date, day_of_week, month, year, quarter,
+  origin, destination, distance, formatted_time, time_of_day, is_departure_delayed, is_arrival_delayed
+FROM fact_flights JOIN dim_carrier USING (carrier_code) JOIN dim_date USING (date_code)
+  JOIN dim_route USING (route_key) JOIN dim_time USING (time_id)""",
     "rp_airport_depart_delays": _airport_report("origin", "departure", "is_departure_delayed"),
     "rp_airport_arrival_delays": _airport_report("destination", "arrival", "is_arrival_delayed"),
     "rp_carrier_delays": f"""
 SELECT *, {_PERCENTAGES} FROM (
-  SELECT c.carrier_code, c.carrier_name, {_COUNTS}
-  FROM fact_flights f JOIN dim_carrier c ON f.carrier_code = c.carrier_code
-  GROUP BY c.carrier_code, c.carrier_name)
+  SELECT carrier_code, carrier_name, {_COUNTS}
+  FROM fact_flights JOIN dim_carrier USING (carrier_code) GROUP BY carrier_code, carrier_name)
 ORDER BY carrier_name DESC NULLS FIRST""",
     "rp_monthly_delays": f"""
 SELECT *, {_PERCENTAGES} FROM (
-  SELECT d.year, d.month, {_COUNTS}
-  FROM fact_flights f JOIN dim_date d ON f.date_code = d.date_code GROUP BY d.year, d.month)
+  SELECT year, month, {_COUNTS} FROM fact_flights JOIN dim_date USING (date_code) GROUP BY year, month)
 ORDER BY year NULLS LAST, month NULLS LAST""",
     "rp_routes_by_delay": f"""
 SELECT origin_airport_name, destination_airport_name, total_flights, departure_delayed_flights,
   arrival_delayed_flights, {_PERCENTAGES} FROM (
-  SELECT o.airport_name AS origin_airport_name, a.airport_name AS destination_airport_name, r.route_key, {_COUNTS}
-  FROM fact_flights f JOIN dim_route r ON f.route_key = r.route_key
-  JOIN dim_airport o ON r.origin = o.airport_code JOIN dim_airport a ON r.destination = a.airport_code
-  GROUP BY o.airport_name, a.airport_name, r.route_key)""",
-    "rp_delay_reasons_by_time": _cause_report("d.year, d.month", "delay_reasons d")
+  SELECT route_key, o.airport_name AS origin_airport_name, d.airport_name AS destination_airport_name, {_COUNTS}
+  FROM fact_flights JOIN dim_route USING (route_key)
+  JOIN dim_airport o ON o.airport_code = origin JOIN dim_airport d ON d.airport_code = destination
+  GROUP BY route_key, o.airport_name, d.airport_name)""",
+    "rp_delay_reasons_by_time": _cause_report("year, month", "delay_reasons")
     + " ORDER BY year NULLS LAST, month NULLS LAST",
     "rp_delay_reasons_by_airport": _cause_report(
-        "d.airport_code, a.airport_name", "delay_reasons d JOIN dim_airport a ON d.airport_code = a.airport_code"
+        "airport_code, airport_name", "delay_reasons JOIN dim_airport USING (airport_code)"
     )
     + " ORDER BY total_delayed_flights DESC NULLS FIRST",
     "delay_reason_summary": """
-SELECT d.year, d.month, d.carrier_code, c.carrier_name, d.airport_code, a.airport_name, a.city, a.country,
-  d.total_arrivals, d.total_delays, d.carrier_cause_delay, d.weather_cause_delay, d.nas_cause_delay,
-  d.security_cause_delay, d.late_aircraft_cause_delay, d.total_cancellations, d.total_diversions
-FROM delay_reasons d JOIN dim_carrier c ON d.carrier_code = c.carrier_code
-JOIN dim_airport a ON d.airport_code = a.airport_code""",
+SELECT delay_reasons.*, carrier_name, airport_name, city, country
+FROM delay_reasons JOIN dim_carrier USING (carrier_code) JOIN dim_airport USING (airport_code)""",
 }
 
 # -- model inputs

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from ontime.operators.features import feature_frame, hash_split
 from ontime.operators.metrics import best_model
 from ontime.operators.models import (
-    FOLDS, GRADIENT_BOOSTING, RANDOM_FOREST, Fitted, Learner, evaluate, fit, metrics_table, prepare,
+    FOLDS, GRADIENT_BOOSTING, PARALLELISM, RANDOM_FOREST, Fitted, Learner, evaluate, fit, metrics_table, prepare,
 )
 from ontime.schemas import TARGETS
 from ontime.sinks.outputs import save_model, write_json
@@ -31,7 +31,7 @@ def compare_models(
     learners: tuple[Learner, ...] = (RANDOM_FOREST, GRADIENT_BOOSTING),
     targets: Mapping[str, str] = TARGETS,
     folds: int = FOLDS,
-    parallelism: int = 2,
+    parallelism: int = PARALLELISM,
     partitions: int | None = None,
     one_hot: bool = True,
 ) -> Comparison:

@@ -1,5 +1,5 @@
 import random
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from helpers import flights, plan, rows
@@ -26,6 +26,16 @@ def test_percentage(spark, part, whole, expected):
     assert df.select(percentage(F.col("p"), F.col("w")).alias("x")).first()["x"] == expected
 
 
+def test_percentage_equals_decimal_arithmetic(spark):
+    draw = random.Random(3)
+    pairs = [(draw.randrange(w + 1), w) for w in (draw.randrange(1, 10**draw.randrange(1, 10)) for _ in range(2000))]
+    pairs += [(n, d) for d in (8, 16, 32, 80, 160, 800, 2000, 20000) for n in range(0, d, max(1, d // 100))]
+    df = spark.createDataFrame(pairs, "p bigint, w bigint")
+    for row in df.withColumn("x", percentage(F.col("p"), F.col("w"))).collect():
+        exact = (Decimal(row["p"]) * 100 / row["w"]).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        assert row["x"] == float(exact)
+
+
 @pytest.mark.parametrize(
     "part, whole, expected",
     [(1.0, 3.0, "33.33"), (1.0, 8.0, "12.50"), (5.0, 0.0, None), (None, 5.0, None), (5.0, None, None),
