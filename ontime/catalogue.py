@@ -197,7 +197,8 @@ def model_row_counts(ws: Workspace) -> DataFrame:
 
 
 def split_hash(ws: Workspace) -> DataFrame:
-    return with_bucket(ws.flown.frame.select(*ROW_KEY)).select(
+    rows = read_table(ws.spark, f"{ws.source}/lineitem.parquet").select(*ROW_KEY)
+    return with_bucket(rows).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("l_shipdate"),
         "bucket", (F.col("bucket") < 80).alias("in_train"),
     )

@@ -14,7 +14,6 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
 from ontime.operators.features import SEED, encoder
 from ontime.operators.metrics import METRICS, area_under_roc, confusion, confusion_metrics, score_counts

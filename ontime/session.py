@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.scheduler.mode": "FAIR",
 }
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 _scratch: dict[str, str] = {}
 
 
@@ -25,7 +27,11 @@ def open_session(name: str = "ontime", settings: dict[str, str] | None = None) -
     builder = SparkSession.builder.appName(name)
     for key, value in {**SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    # Shuffles start with several pieces per core; adaptive execution merges the small ones.
+    if spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        spark.conf.set(INITIAL_PARTITIONS, str(4 * spark.sparkContext.defaultParallelism))
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:

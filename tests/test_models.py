@@ -203,13 +203,16 @@ def test_exact_auc_by_brute_force(spark):
 
 
 def table(spark, *found):
-    columns = "target string, model string, position int, auc double, accuracy double, precision double, recall double, f1 double"
+    columns = "target string, model string, position int, " + ", ".join(f"{m} double" for m in metrics.METRICS)
     return spark.createDataFrame([(*row, 0.1, 0.2, 0.3, 0.4) for row in found], columns)
 
 
 def test_best_model_per_target_and_first_listed_of_equals(spark):
-    scores = table(spark, ("a", "RandomForest", 0, 0.8), ("a", "GBT", 1, 0.8), ("d", "RandomForest", 2, 0.6), ("d", "GBT", 3, 0.7))
-    assert rows(metrics.best_model(scores).select("target", "model", "auc")) == [("a", "RandomForest", 0.8), ("d", "GBT", 0.7)]
+    scores = table(
+        spark, ("a", "RandomForest", 0, 0.8), ("a", "GBT", 1, 0.8), ("d", "RandomForest", 2, 0.6), ("d", "GBT", 3, 0.7)
+    )
+    best = metrics.best_model(scores).select("target", "model", "auc")
+    assert rows(best) == [("a", "RandomForest", 0.8), ("d", "GBT", 0.7)]
 
 
 def test_metrics_long(spark):
