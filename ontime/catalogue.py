@@ -324,7 +324,14 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
 }
 
 
+def _registered(build: Callable[[Workspace], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        ws = workspace(spark, folder.rstrip("/"))
+        with ws.lock:
+            return build(ws)
+
+    return query
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        name: (lambda spark, folder, build=build: build(workspace(spark, folder))) for name, build in _QUERIES.items()
-    }
+    return {name: _registered(build) for name, build in _QUERIES.items()}

@@ -7,6 +7,7 @@ tables. Each part is built when it is first needed.
 from __future__ import annotations
 
 from functools import cached_property
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from ontime.session import shared_folder
 from ontime.sources.tables import Table, write_table
 
 _open: dict[tuple[str, str], Workspace] = {}
+_opening = RLock()
 
 # Simple scores with known rankings: they stand in for models where a result has to be
 # checked against SQL. Per target: name, score, and the score above which a delay is called.
@@ -40,6 +42,8 @@ class Workspace:
         self.source = source
         self.folder = f"{shared_folder(spark)}/{source.strip('/').replace('/', '_')}"
         self._training: dict[str, TrainingSet] = {}
+        # Held while a query is put together, so that no table is loaded twice at once.
+        self.lock = RLock()
 
     @cached_property
     def flown(self) -> Table:
@@ -146,6 +150,7 @@ class Workspace:
 
 def workspace(spark: SparkSession, source: str) -> Workspace:
     key = spark.sparkContext.applicationId, source
-    if key not in _open:
-        _open[key] = Workspace(spark, source)
-    return _open[key]
+    with _opening:
+        if key not in _open:
+            _open[key] = Workspace(spark, source)
+        return _open[key]

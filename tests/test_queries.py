@@ -69,3 +69,15 @@ def test_each_flight_has_one_date_and_one_carrier(ws):
     facts = ws.warehouse["fact_flights"]
     for dimension, key in [("dim_date", "date_code"), ("dim_carrier", "carrier_code"), ("dim_route", "route_key")]:
         assert facts.join(ws.warehouse[dimension], key).count() == facts.count()
+
+
+def test_queries_may_be_built_from_several_threads(spark, folder, tmp_path):
+    import os
+    from concurrent.futures import ThreadPoolExecutor
+
+    for name in TABLES:
+        os.symlink(f"{folder}/{name}.parquet", tmp_path / f"{name}.parquet")
+    names = ["rp_carrier_delays", "rp_monthly_delays", "dim_carrier", "null_fill"]
+    with ThreadPoolExecutor(4) as pool:
+        counts = list(pool.map(lambda n: QUERIES[n](spark, str(tmp_path)).count(), names))
+    assert counts == [QUERIES[n](spark, folder).count() for n in names]
