@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from ontime import catalogue
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = {name: contract.queries()[name] for name in catalogue.queries()}
+ORACLES = {name: sql for name, sql in contract.oracle_sql().items() if name in QUERIES}
 WITHOUT_SQL = {"train_rf", "train_gbt", "cv_grid"}
 
 SQL_TYPES = {
