@@ -2,16 +2,33 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime.llm import mixing, packing, quality, simhash
+from ontime.llm import chat, embeddings, licenses, lm, mixing, packing, quality, sharding, simhash, urls
 from ontime.llm.common import table
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.table_turns(table(spark, sf_dir, "conversations"), "conv_id")
+    # The added conversation comes in another layout, so its record chooses its own mapping.
+    said = "</s>[INST] ok [/INST]"
+    record = json.dumps({"messages": [{"role": role, "content": said} for role in ("user", "assistant")]})
+    added = spark.range(1).select(F.lit(-1).cast("bigint").alias("conv_id"), F.lit(record).alias("record"))
+    more = chat.record_turns(added, "conv_id", "record").select("id", F.inline("turns"))
+    return chat.chat_digests(chat.format_chats(turns.unionByName(more)))
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages")).select(
+        F.col("id").alias("page_id"), "host", "path", "rule", "verdict"
+    )
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -29,6 +46,25 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix_report(docs)
@@ -40,7 +76,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-_QUERIES = (op3_simhash_near_dedup, op4_packing, op5_quality_rules, op10_source_mix, pipeline)
+_QUERIES = (
+    op1_chat_format, op2_url_filter, op3_simhash_near_dedup, op4_packing, op5_quality_rules, op6_embedding_near_dedup,
+    op7_license_scan, op8_sharding, op9_lm_scoring, op10_source_mix, pipeline,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -48,4 +87,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_source_mix": mixing.SQL}
+    return {"op1_chat_format": chat.SQL, "op10_source_mix": mixing.SQL}
