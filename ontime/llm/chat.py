@@ -20,17 +20,25 @@ class Mapping:
     """A layout: the schema of its records, and SQL that turns such a record ``r`` into an array of turns."""
 
     name: str
-    schema: str
+    schema: T.StructType
     turns: str
 
     @property
     def paths(self) -> list[str]:
-        return field_paths(T.StructType.fromDDL(self.schema))
+        return field_paths(self.schema)
 
     def apply(self, record: str) -> Column:
         return F.element_at(F.expr(f"transform(array({record}), r -> {self.turns})"), 1).cast(TURNS)
 
 
+def _texts(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
+def _list_of(name: str, *parts: str) -> T.StructType:
+    return T.StructType([T.StructField(name, T.ArrayType(_texts(*parts)))])
+
+
 def _pair(question: str, answer: str) -> str:
     return (
         f"array(struct(0L AS turn, 'user' AS role, {question} AS text), "
@@ -44,20 +52,20 @@ def _listed(field: str, role: str, text: str) -> str:
 
 
 MAPPINGS = (
-    Mapping("turn", "turn bigint, role string, text string", "array(struct(r.turn, r.role, r.text))"),
-    Mapping("prompt_response", "prompt string, response string", _pair("r.prompt", "r.response")),
-    Mapping("prompt_completion", "prompt string, completion string", _pair("r.prompt", "r.completion")),
-    Mapping("question_answer", "question string, answer string", _pair("r.question", "r.answer")),
-    Mapping("instruction", "instruction string, output string", _pair("r.instruction", "r.output")),
     Mapping(
-        "instruction_input", "instruction string, input string, output string",
-        _pair("concat_ws('\\n\\n', r.instruction, nullif(r.input, ''))", "r.output"),
+        "turn", T.StructType([T.StructField("turn", T.LongType()), *_texts("role", "text").fields]),
+        "array(struct(r.turn, r.role, r.text))",
     ),
-    Mapping("messages", "messages array<struct<role: string, content: string>>", _listed("r.messages", "role", "content")),
+    Mapping("prompt_response", _texts("prompt", "response"), _pair("r.prompt", "r.response")),
+    Mapping("prompt_completion", _texts("prompt", "completion"), _pair("r.prompt", "r.completion")),
+    Mapping("question_answer", _texts("question", "answer"), _pair("r.question", "r.answer")),
+    Mapping("instruction", _texts("instruction", "output"), _pair("r.instruction", "r.output")),
     Mapping(
-        "conversations", "conversations array<struct<from: string, value: string>>",
-        _listed("r.conversations", "from", "value"),
+        "instruction_input", _texts("instruction", "input", "output"),
+        _pair("concat_ws('\\n\\n', r.instruction, nullif(r.input, ''))", "r.output"),
     ),
+    Mapping("messages", _list_of("messages", "role", "content"), _listed("r.messages", "role", "content")),
+    Mapping("conversations", _list_of("conversations", "from", "value"), _listed("r.conversations", "from", "value")),
 )
 
 
@@ -112,7 +120,7 @@ def table_turns(rows: DataFrame, id_column: str) -> DataFrame:
     mapping = BY_FINGERPRINT.get(fingerprint(named))
     if mapping is None:
         raise ValueError(f"no layout has the fields {named}")
-    record = f"struct({', '.join(T.StructType.fromDDL(mapping.schema).fieldNames())})"
+    record = f"struct({', '.join(mapping.schema.fieldNames())})"
     return rows.select(F.col(id_column).alias("id"), mapping.apply(record).alias("turns")).select("id", F.inline("turns"))
 
 
@@ -129,7 +137,7 @@ def record_turns(rows: DataFrame, id_column: str, record: str) -> DataFrame:
     for digest, mapping in BY_FINGERPRINT.items():
         chosen = F.col("fingerprint") == digest
         layout = F.when(chosen, F.lit(mapping.name)).otherwise(layout)
-        turns = F.when(chosen, mapping.apply(f"from_json(record, '{mapping.schema}')")).otherwise(turns)
+        turns = F.when(chosen, mapping.apply(f"from_json(record, '{mapping.schema.simpleString()}')")).otherwise(turns)
     return hashed.select("id", layout.alias("layout"), turns.alias("turns"))
 
 
