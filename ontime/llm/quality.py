@@ -16,6 +16,8 @@ from ontime.llm.common import let, stage, words
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WINDOW_WORDS = 3
+# At the start of each word: this word, taken, and ahead of it three words, kept. It never steps back.
+_WINDOW = "(?<![^ ])(?=([^ ]++ [^ ]++ [^ ]++))[^ ]++"
 
 # Share of a group that the estimate is drawn from, and the rounds that concentrate it.
 CORE_SHARE = 0.75
@@ -46,21 +48,15 @@ def base_statistics(text: Column) -> dict[str, Column]:
 def repeated_words(parts: Column) -> Column:
     """Words that lie in a window of three words which the text holds twice or more.
 
-    Windows are hashed to 64 bits and sorted with their places, so equal ones are neighbours; sorting
-    is all this costs, also in a text of one repeated line. Most texts repeat nothing and stop at the
-    comparison of the number of distinct windows.
+    Most texts repeat nothing and stop at the comparison of the number of distinct windows. Else windows
+    are hashed to 64 bits and sorted with their places, so equal ones are neighbours; sorting is all
+    this costs, also in a text of one repeated line.
     """
-    count = F.size(parts) - (WINDOW_WORDS - 1)
-    # The words shifted by one and two places line up with the first, so a window is one zipped element.
-    rest = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    last = F.slice(parts, 3, F.greatest(F.size(parts) - 2, F.lit(0)))
-    hashes = F.slice(
-        F.zip_with(F.zip_with(parts, rest, lambda a, b: F.xxhash64(a, b)), last, lambda h, c: F.xxhash64(h, c)),
-        1, F.greatest(count, F.lit(0)),
-    )
+    # Compiled expressions make the windows, not a function for each word, which would take several times as long.
+    windows = F.regexp_extract_all(F.concat_ws(" ", parts), F.lit(_WINDOW), F.lit(1))
 
     def covered(found: Column) -> Column:
-        placed = F.sort_array(F.transform(found, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        placed = F.sort_array(F.transform(found, lambda w, i: F.struct(F.xxhash64(w).alias("h"), i.alias("i"))))
 
         def places(s: Column) -> Column:
             n = F.size(s)
@@ -80,9 +76,7 @@ def repeated_words(parts: Column) -> Column:
         return let(let(placed, places), total)
 
     none = F.lit(0).cast("bigint")
-    return F.when(count <= 1, none).otherwise(
-        let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), none).otherwise(covered(h)))
-    )
+    return let(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), none).otherwise(covered(w)))
 
 
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
