@@ -16,49 +16,66 @@ from ontime.llm.common import stage
 WINDOW = 4096
 END_ID = 2
 # Words whose ids a worker remembers. More distinct words are encoded again when they come.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 600_000
+_MARKS = frozenset(b"%c" % c for c in b".,;:!?")
+_LATIN_END = "\u0250"  # the first letter after the Latin blocks that have no combining forms
 _ID_BYTES = 4
 
 
 @cache
 def _tokenizer(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
-    return Tokenizer.from_file(path)
+    return Tokenizer.from_file(path), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
 
 
-@cache
-def _remembered(path: str) -> dict[bytes, bytes]:
-    return {}
+class _Ids(dict):
+    """Ids of words as little-endian 32-bit numbers, encoded when first asked for."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.path = path
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode("utf-8")
+        if word[-1:] in _MARKS and _only_letters(text[:-1]):
+            found = self[word[:-1]] + self[word[-1:]]  # the tokenizer parts letters from what follows them
+        else:
+            found = np.array(_encode(self.path, text), "<u4").tobytes()
+        if len(self) < REMEMBERED_WORDS:
+            self[word] = found
+        return found
+
 
+def _only_letters(text: str) -> bool:
+    """Lower-case Latin letters only: such a word passes normalisation and splitting unchanged."""
+    return text.isalpha() and text == text.lower() and max(text) < _LATIN_END
 
-def _encode(path: str, words: list[bytes]) -> dict[bytes, bytes]:
-    found = _tokenizer(path).encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
-    return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(words, found)}
+
+def _encode(path: str, word: str) -> list[int]:
+    tokenizer, as_bytes = _tokenizer(path)
+    if _only_letters(word):
+        return [token.id for token in tokenizer.model.tokenize(as_bytes.pre_tokenize_str(word)[0][0])]
+    return tokenizer.encode(word, add_special_tokens=False).ids
+
+
+@cache
+def _remembered(path: str) -> _Ids:
+    return _Ids(path)
 
 
-def token_bytes(path: str, texts: list[bytes | None]) -> list[bytes]:
-    """The ids of whole texts as little-endian 32-bit numbers.
+def token_bytes(path: str, text: bytes | None) -> bytes:
+    """The ids of a whole text as little-endian 32-bit numbers.
 
     This tokenizer drops white space and never joins what stands on both sides of it, and it lowers
     case itself. So each word is encoded once and its ids are looked up where it comes again. Only
     A-Z is lowered first, and not in texts that may name a special token.
     """
-    known = _remembered(path)
-    split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
-    found = [list(map(known.get, words)) for words in split]
-    missing = {w for words, ids in zip(split, found) if None in ids for w, x in zip(words, ids) if x is None}
-    if missing:
-        new = _encode(path, sorted(missing))
-        room = REMEMBERED_WORDS - len(known)
-        found = [
-            [new[w] if x is None else x for w, x in zip(words, ids)] if None in ids else ids
-            for words, ids in zip(split, found)
-        ]
-        if room > 0:
-            known.update(new if len(new) <= room else list(new.items())[:room])
-    return [b"".join(ids) for ids in found]
+    if not text:
+        return b""
+    words = (text if b"<|" in text else text.lower()).split()
+    return b"".join(map(_remembered(path).__getitem__, words))
 
 
 def _token_rows(path: str, end_id: int):
@@ -69,7 +86,7 @@ def _token_rows(path: str, end_id: int):
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 some = batch.slice(k, 512)
-                ids = [x + end for x in token_bytes(path, some.column(2).cast(pa.binary()).to_pylist())]
+                ids = [token_bytes(path, t) + end for t in some.column(2).cast(pa.binary()).to_pylist()]
                 sizes = np.fromiter((len(x) // _ID_BYTES for x in ids), np.int64, len(ids))
                 starts = at + np.cumsum(sizes) - sizes
                 at += int(sizes.sum())
