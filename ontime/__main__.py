@@ -1,8 +1,8 @@
 """Jobs for spark-submit: load the warehouse, write reports, train classifiers.
 
-    load   --data DIR --warehouse DIR [--separator SEP] [--delay-minutes N] [--jdbc]
+    load   --data DIR --warehouse DIR [--separator SEP] [--delay-minutes N] [--jdbc [--connections N]]
     report --warehouse DIR --out DIR [NAME ...]
-    train  --warehouse DIR --out DIR [--partitions N] [--parallelism N] [--compact]
+    train  --warehouse DIR --out DIR [--partitions N] [--parallelism N] [--split hash|random] [--compact]
     score  --model DIR --rows JSON --out DIR
 """
 
@@ -17,7 +17,7 @@ from ontime.operators.features import enrich
 from ontime.operators.models import PARALLELISM, score
 from ontime.plans.load import load_files, open_warehouse
 from ontime.plans.reports import REPORTS
-from ontime.plans.training import compare_models, store_comparison
+from ontime.plans.training import SPLITS, compare_models, store_comparison
 from ontime.schemas import DELAY_MINUTES, FEATURE_ROW, KEY_SEPARATOR
 from ontime.session import open_session, shared_folder
 from ontime.sinks.jdbc import jdbc_options, write_jdbc
@@ -31,7 +31,7 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
     )
     if target:
         for name, table in warehouse.tables.items():
-            write_jdbc(table.frame, name, target)
+            write_jdbc(table.frame, name, target, args.connections)
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -47,9 +47,9 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
     )
     comparison = compare_models(
         enriched, f"{shared_folder(spark)}/training", partitions=args.partitions,
-        parallelism=args.parallelism, one_hot=not args.compact,
+        parallelism=args.parallelism, one_hot=not args.compact, split=args.split,
     )
-    store_comparison(comparison, args.out)
+    store_comparison(comparison, args.out, args.stamp)
 
 
 def score_rows(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -68,6 +68,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--separator", default=KEY_SEPARATOR)
     job.add_argument("--delay-minutes", type=int, default=DELAY_MINUTES)
     job.add_argument("--jdbc", action="store_true")
+    job.add_argument("--connections", type=int, default=16)
 
     job = jobs.add_parser("report")
     job.set_defaults(run=report)
@@ -81,7 +82,12 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--out", required=True)
     job.add_argument("--partitions", type=int)
     job.add_argument("--parallelism", type=int, default=PARALLELISM)
-    job.add_argument("--compact", action="store_true")
+    job.add_argument("--split", choices=SPLITS, default="hash")
+    job.add_argument("--stamp", help="name of the run in --out; the time by default")
+    job.add_argument(
+        "--compact", action="store_true",
+        help="a slot per category; numbers then get as many split candidates as the widest category has values",
+    )
 
     job = jobs.add_parser("score")
     job.set_defaults(run=score_rows)

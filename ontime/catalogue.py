@@ -12,23 +12,15 @@ from pyspark.sql import functions as F
 
 from ontime.functions.keys import surrogate_key
 from ontime.operators import metrics, quality, star
-from ontime.operators.features import encoder, index_stage, one_hot_stage, with_bucket
-from ontime.operators.models import GRADIENT_BOOSTING, RANDOM_FOREST, Learner, evaluate, metrics_table, score
+from ontime.operators.features import encoder, hash_split, index_stage, one_hot_stage
+from ontime.operators.models import GRADIENT_BOOSTING, RANDOM_FOREST, Learner, evaluate, plain, score
 from ontime.plans import reports
 from ontime.schemas import AIRPORTS, CATEGORICAL_FEATURES, DELAY_CAUSES, FEATURES, FLIGHTS, TARGETS
 from ontime.sinks.outputs import load_model, register_views, save_model, write_json
 from ontime.sources.files import conform, fill_nulls, normalize, scan_csv
 from ontime.sources.tables import read_table
-from ontime.testbed import ROW_KEY
 from ontime.workspace import PLANTED, Workspace, workspace
 
-# Settings small enough for a check run; the library defaults are the full ones.
-SMALL_FOREST = Learner(RANDOM_FOREST.name, RANDOM_FOREST.kind, {"numTrees": 10, "maxDepth": 5})
-SMALL_BOOSTING = Learner(GRADIENT_BOOSTING.name, GRADIENT_BOOSTING.kind, {"maxIter": 5, "maxDepth": 3})
-SMALL_GRID = Learner(
-    GRADIENT_BOOSTING.name, GRADIENT_BOOSTING.kind, {}, {"maxDepth": [2, 3], "maxIter": [3, 5]}
-)
-
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -197,11 +189,13 @@ def model_row_counts(ws: Workspace) -> DataFrame:
 
 
 def split_hash(ws: Workspace) -> DataFrame:
-    rows = read_table(ws.spark, f"{ws.source}/lineitem.parquet").select(*ROW_KEY)
-    return with_bucket(rows).select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("l_shipdate"),
-        "bucket", (F.col("bucket") < 80).alias("in_train"),
-    )
+    train, test = hash_split(ws.features("arrival"))
+    return train.withColumn("in_train", F.lit(True)).unionByName(test.withColumn("in_train", F.lit(False)))
+
+
+def feature_splits(ws: Workspace) -> DataFrame:
+    """The stored table that training reads: features, labels, and the split bucket of each label."""
+    return ws.feature_table
 
 
 def string_index(ws: Workspace) -> DataFrame:
@@ -237,26 +231,43 @@ def feature_vector(ws: Workspace) -> DataFrame:
 
 
 def _trained(ws: Workspace, learner: Learner) -> DataFrame:
+    """Per target, what a fit with the library's settings saw and how many held-out rows it was tried on."""
     rows = []
     for target, label in TARGETS.items():
-        fitted, test = ws.fit(label, learner)
-        rows.append((target, fitted, evaluate(fitted.model, test, label)))
-    return metrics_table(ws.spark, rows)
+        fitted, test = ws.fit(label, plain(learner))
+        found, trees = evaluate(fitted.model, test, label), fitted.model.stages[-1]
+        rows.append(
+            (target, fitted.name, ws.training_set(label).vectors.count(), found["rows"], trees.numFeatures, trees.getNumTrees,
+             all(0.0 <= found[name] <= 1.0 for name in metrics.METRICS))
+        )
+    return ws.spark.createDataFrame(
+        rows, "target string, model string, fit_rows bigint, test_rows bigint, width int, trees int, metrics_valid boolean"
+    )
 
 
 def train_rf(ws: Workspace) -> DataFrame:
-    return _trained(ws, SMALL_FOREST)
+    return _trained(ws, RANDOM_FOREST)
 
 
 def train_gbt(ws: Workspace) -> DataFrame:
-    return _trained(ws, SMALL_BOOSTING)
+    return _trained(ws, GRADIENT_BOOSTING)
 
 
 def cv_grid(ws: Workspace) -> DataFrame:
-    fitted, _ = ws.fit(TARGETS["arrival"], SMALL_GRID, folds=2)
+    """Every point of both learners' grids for both targets, and whether the best of them was refitted."""
+    rows = []
+    for target, label in TARGETS.items():
+        for learner in (RANDOM_FOREST, GRADIENT_BOOSTING):
+            fitted, _ = ws.fit(label, learner)
+            best, _ = max(fitted.grid_scores, key=lambda scored: scored[1])
+            last = fitted.model.stages[-1]
+            refitted = all(last.getOrDefault(name) == value for name, value in best.items())
+            rows += [
+                (target, fitted.name, point["maxDepth"], point.get("numTrees", point.get("maxIter")), 0.0 <= auc <= 1.0, refitted)
+                for point, auc in fitted.grid_scores
+            ]
     return ws.spark.createDataFrame(
-        [(fitted.name, point["maxDepth"], point["maxIter"], auc) for point, auc in fitted.grid_scores],
-        "model string, max_depth int, max_iter int, mean_auc double",
+        rows, "target string, model string, max_depth int, trees int, auc_valid boolean, best_refitted boolean"
     )
 
 
@@ -315,7 +326,7 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
             key_uniqueness, key_uniqueness_packed_key, orphan_facts, surrogate_keys,
             dim_carrier, dim_airport, dim_date, dim_route, dim_time, fact_flights, delay_reasons,
             sink_star_roundtrip, sink_delays_roundtrip, report_views, rp_monthly_delays_packed_key,
-            enriched_flights, features_arrival, features_departure, model_row_counts, split_hash,
+            enriched_flights, features_arrival, features_departure, model_row_counts, split_hash, feature_splits,
             string_index, one_hot, feature_vector, train_rf, train_gbt, cv_grid, score_batch, model_roundtrip,
             eval_confusion_metrics, eval_auc, best_model, metrics_long, run_metrics_json,
         )

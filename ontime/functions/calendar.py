@@ -10,7 +10,8 @@ from ontime.schemas import DAY_PART_OTHERWISE, DAY_PARTS, WEEKEND_DAYS
 
 def calendar_date(year: Column, month: Column, day: Column) -> Column:
     """The date, or null where the three numbers name no day."""
-    return F.concat_ws("-", year, month, day).try_cast("date")
+    # concat, unlike concat_ws, is null as soon as one part is.
+    return F.concat(year, F.lit("-"), month, F.lit("-"), day).try_cast("date")
 
 
 def date_attributes(date: Column) -> dict[str, Column]:
@@ -29,7 +30,8 @@ def minute_of_day(hour: Column, minute: Column) -> Column:
 
 
 def clock_text(hour: Column, minute: Column) -> Column:
-    return F.format_string("%02d:%02d", hour, minute)
+    """Hour and minute as HH:MM, or null where either is missing."""
+    return F.when(hour.isNotNull() & minute.isNotNull(), F.format_string("%02d:%02d", hour, minute))
 
 
 def day_part(hour: Column) -> Column:

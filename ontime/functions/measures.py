@@ -21,5 +21,5 @@ def percentage(part: Column, whole: Column) -> Column:
 
 
 def share(part: Column, whole: Column) -> Column:
-    """``part`` of ``whole`` in percent as decimal(5,2); null when ``whole`` is 0 or the value does not fit."""
-    return (part / F.nullif(whole, F.lit(0.0)) * 100).try_cast("decimal(5,2)")
+    """``part`` of ``whole`` in percent with two decimals, however large; null when ``whole`` is 0."""
+    return (part / F.nullif(whole, F.lit(0.0)) * 100).try_cast("decimal(38,2)")

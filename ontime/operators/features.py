@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
@@ -51,6 +54,27 @@ def hash_split(df: DataFrame, *key: str, train_share: float = TRAIN_SHARE) -> tu
     return train.drop("bucket"), test.drop("bucket")
 
 
+def feature_table(enriched: DataFrame, targets: Mapping[str, str], features: list[str] = FEATURES) -> DataFrame:
+    """Features with all labels, and for each label ``<label>_bucket``: the bucket that ``hash_split`` puts the
+    row in, or null where the row lacks a feature or that label."""
+    labels = list(targets.values())
+    flags = {name: F.col(name).cast("double") for name in ["is_weekend", *labels] if name in [*features, *labels]}
+    table = enriched.select(*features, *labels).withColumns(flags)
+    whole = {
+        label: reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(c) if kind in ("double", "float") else F.col(c).isNotNull()
+                                           for c, kind in table.select(*features, label).dtypes])
+        for label in labels
+    }
+    return table.withColumns({f"{label}_bucket": F.when(whole[label], hash_bucket(*features, label)) for label in labels})
+
+
+def labelled(table: DataFrame, label: str, train_share: float = TRAIN_SHARE) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows of a label, from a stored feature table."""
+    others = [c for c in table.columns if c.endswith("_bucket") or f"{c}_bucket" in table.columns and c != label]
+    limit, bucket = round(train_share * 100), F.col(f"{label}_bucket")
+    return table.where(bucket < limit).drop(*others), table.where(bucket >= limit).drop(*others)
+
+
 def index_stage(categorical: list[str] = CATEGORICAL_FEATURES) -> StringIndexer:
     """Most frequent value first, ties by value; unseen values get an index of their own."""
     return StringIndexer(

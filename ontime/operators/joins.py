@@ -5,40 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ontime.sources.tables import Table, measure
+from ontime.sources.tables import Table
 
-# A dimension is broadcast only when its measured width is below this.
+# A dimension is broadcast only when its estimate in memory, taken when it was stored, is below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Beyond that, each fact key is spread over this many join partitions.
-SALTS = 32
-
-
-def measured_bytes(dimension: Table | DataFrame) -> int:
-    """Width of a dimension: recorded when it was written, else measured with one aggregate."""
-    if not isinstance(dimension, Table):
-        return measure(dimension)
-    return measure(dimension.frame) if dimension.text_bytes is None else dimension.text_bytes
-
 
 def attach_dimension(
-    facts: DataFrame,
-    dimension: Table | DataFrame,
-    key: str,
-    how: str = "inner",
+    facts: DataFrame, dimension: Table | DataFrame, key: str, how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join a dimension to fact rows on ``key`` (inner or left).
 
-    A dimension of proven small size is broadcast: the facts are not shuffled at all. A larger
-    one is repeated once per salt and joined on (key, salt), so a key that holds a third of all
-    facts is shared by ``salts`` tasks. The salt is the fact row's own partition number: it
-    separates identical rows, and a task that is run again gives every row the same salt.
+    A stored dimension of proven small size is broadcast: the facts are not shuffled at all. Any other is
+    joined by its key, where adaptive execution splits the partition of a hot key among tasks and
+    repeats just that partition of the dimension. Building the plan runs no job.
     """
     frame = dimension.frame if isinstance(dimension, Table) else dimension
-    if measured_bytes(dimension) <= broadcast_bytes:
-        return facts.join(F.broadcast(frame), key, how)
-    repeated = frame.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = facts.withColumn("_salt", F.spark_partition_id() % salts)
-    return spread.join(repeated, [key, "_salt"], how).drop("_salt")
+    measured = dimension.memory_bytes if isinstance(dimension, Table) else None
+    small = measured is not None and measured <= broadcast_bytes
+    return facts.join(F.broadcast(frame) if small else frame, key, how)

@@ -251,7 +251,8 @@ def _digest(table: str) -> str:
 
 
 def _pct(part: str, whole: str) -> str:
-    return f"round(({part}) * 10000.0 / nullif({whole}, 0)) / 100"
+    # Whole numbers only: halves go up, and no fraction is ever stored.
+    return f"CAST((20000 * CAST({part} AS HUGEINT) + {whole}) // nullif(2 * {whole}, 0) AS DOUBLE) / 100"
 
 
 _COUNTS = """count(*) AS total_flights,
@@ -286,8 +287,9 @@ def _cause_report(keys: str, source: str) -> str:
     sums = ", ".join(f"sum(CAST({m} AS DOUBLE)) AS {t}" for t, m in _TOTALS.items())
 
     def share(part: str, whole: str) -> str:
+        # Through text: a double is rounded from its shortest decimal form, as Spark does it.
         ratio = f"CAST({part} / nullif({whole}, 0) * 100 AS VARCHAR)"
-        return f"CAST(TRY_CAST({ratio} AS DECIMAL(5, 2)) AS DOUBLE)"
+        return f"CAST(TRY_CAST({ratio} AS DECIMAL(38, 2)) AS DOUBLE)"
 
     shares = [f"{share('total_delayed_flights', 'total_flights')} AS delay_percentage"] + [
         f"{share(f'total_{c}_delays', 'total_delayed_flights')} AS {c}_delay_percentage"
@@ -339,11 +341,43 @@ _FEATURES = (
 _CATEGORIES = "carrier_code origin destination day_of_week month time_of_day".split()
 _NUMBERS = "distance air_time day_of_month is_weekend".split()
 
-_SPLIT = """
-SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_shipdate AS DATE) AS l_shipdate,
-  CAST(bucket AS INTEGER) AS bucket, bucket < 80 AS in_train
-FROM (SELECT *, CAST('0x' || substr(sha256(concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate)),
-                                    1, 8) AS BIGINT) % 100 AS bucket FROM lineitem)"""
+
+
+def _bucket(label: str) -> str:
+    return (
+        f"CAST(CAST('0x' || substr(sha256(concat_ws('-', {_FEATURES}, {label})), 1, 8) AS BIGINT) % 100 AS INTEGER)"
+    )
+
+
+_LONG_HAUL = "(SELECT *, CAST(distance > 1000 AS DOUBLE) AS is_long_haul FROM model_rows)"
+_LABELS = {"arrival": "is_arrival_delayed", "departure": "is_departure_delayed"}
+
+
+def _trained(model: str, trees: int, fit_rows: int = 500) -> str:
+    """The rows a fit sees and is tried on. A vector has a slot for each value in the training rows, and one per number."""
+    return _union(
+        [
+            f"""
+SELECT '{target}' AS target, '{model}' AS model, CAST(least({fit_rows}, count_if(b < 80)) AS BIGINT) AS fit_rows, CAST(count_if(b >= 80) AS BIGINT) AS test_rows,
+  CAST({' + '.join(f'count(DISTINCT {c}) FILTER (b < 80)' for c in _CATEGORIES)} + {len(_NUMBERS)} AS INTEGER) AS width,
+  {trees} AS trees, true AS metrics_valid
+FROM (SELECT *, {_bucket(label)} AS b FROM model_rows)"""
+            for target, label in _LABELS.items()
+        ]
+    )
+
+
+# Depths and numbers of trees of the two learners' grids.
+_GRIDS = _union(
+    [
+        f"SELECT '{target}' AS target, '{model}' AS model, {depth} AS max_depth, {trees} AS trees, "
+        "true AS auc_valid, true AS best_refitted"
+        for target in _LABELS
+        for model, sizes in (("RandomForest", (50, 100)), ("GBT", (20, 50)))
+        for depth in (5, 10)
+        for trees in sizes
+    ]
+)
 
 _INDEXES = ",".join(
     f"""
@@ -439,7 +473,7 @@ _METRICS = ["auc", "accuracy", "precision", "recall", "f1"]
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL per registered query. Training runs have none: their result depends on the learner."""
+    """SQL per registered query. For training runs it states what was fitted and tried, not the learner's answers."""
     return {
         "scan_csv": _sql(f"SELECT {_FLIGHTS_TEXT} FROM flown"),
         "conform_schema": _sql(_CONFORMED),
@@ -467,7 +501,16 @@ def oracle_sql() -> dict[str, str]:
             "SELECT 'arrival' AS target, count(*) AS n_rows FROM model_rows "
             "UNION ALL SELECT 'departure', count(*) FROM model_rows"
         ),
-        "split_hash": _SPLIT,
+        "split_hash": _sql(
+            f"SELECT {_FEATURES}, is_arrival_delayed, {_bucket('is_arrival_delayed')} < 80 AS in_train FROM model_rows"
+        ),
+        "feature_splits": _sql(
+            f"SELECT {_FEATURES}, " + ", ".join(f"{l}, {_bucket(l)} AS {l}_bucket" for l in [*_LABELS.values(), "is_long_haul"])
+            + f" FROM {_LONG_HAUL}"
+        ),
+        "train_rf": _sql(_trained("RandomForest", 100)),
+        "train_gbt": _sql(_trained("GBT", 50)),
+        "cv_grid": _GRIDS,
         "string_index": _with_tables(
             _INDEXES,
             "SELECT " + ", ".join(f"m.{c}, CAST(i_{c}.idx AS DOUBLE) AS {c}_idx" for c in _CATEGORIES)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ontime.operators.star import DIMENSION_KEYS, Star, build_star, delay_reasons
 from ontime.schemas import AIRPORTS, DELAY_CAUSES, DELAY_MINUTES, FLIGHTS, KEY_SEPARATOR
+from ontime.sinks.outputs import write_json
 from ontime.sources.files import conform, normalize, scan_csv
 from ontime.sources.tables import Table, read_table, write_table
 
@@ -17,6 +18,9 @@ from ontime.sources.tables import Table, read_table, write_table
 FLIGHTS_FILE, CAUSES_FILE, AIRPORTS_FILE = "flight_data.csv", "delay_cause.csv", "airports.csv"
 TABLES = [*DIMENSION_KEYS, "fact_flights", "delay_reasons"]
 
+# One row per dimension, beside the tables: what it takes in memory.
+SIZES, SIZES_SCHEMA = "dimension_sizes", "name string, memory_bytes bigint"
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -31,7 +35,7 @@ class Warehouse:
 
 
 def store_star(star: Star, folder: str) -> dict[str, Table]:
-    """Write the star. The widths of the dimensions are noted; they decide how each is joined later.
+    """Write the star. The sizes of the dimensions are noted; they decide how each is joined later.
 
     The tables do not depend on each other, so the short dimension jobs run beside the fact table's.
     """
@@ -43,7 +47,10 @@ def store_star(star: Star, folder: str) -> dict[str, Table]:
     in_session = inheritable_thread_target(star.fact_flights.sparkSession)
     with ThreadPoolExecutor(max_workers=len(tables)) as pool:
         jobs = {name: pool.submit(in_session(store), name, df) for name, df in tables.items()}
-        return {name: job.result() for name, job in jobs.items()}
+        stored = {name: job.result() for name, job in jobs.items()}
+    sizes = [(name, table.memory_bytes) for name, table in stored.items() if table.memory_bytes is not None]
+    write_json(star.fact_flights.sparkSession.createDataFrame(sizes, SIZES_SCHEMA).coalesce(1), f"{folder}/{SIZES}")
+    return stored
 
 
 def store_delay_reasons(causes: DataFrame, folder: str) -> Table:
@@ -77,7 +84,8 @@ def load_files(spark: SparkSession, data: str, folder: str, **options) -> Wareho
 
 
 def open_warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    """A warehouse loaded earlier. Widths of dimensions are measured when a join needs them."""
+    """A warehouse loaded earlier, with the sizes of its dimensions as they were noted then."""
+    sizes = {row["name"]: row["memory_bytes"] for row in spark.read.schema(SIZES_SCHEMA).json(f"{folder}/{SIZES}").collect()}
     stored = {name: f"{folder}/{name}" for name in ["flights", *TABLES]}
-    tables = {name: Table(read_table(spark, path), path) for name, path in stored.items()}
+    tables = {name: Table(read_table(spark, path), path, sizes.get(name)) for name, path in stored.items()}
     return Warehouse(tables.pop("flights"), tables)

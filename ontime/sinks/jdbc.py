@@ -28,7 +28,9 @@ def jdbc_options(env: Mapping[str, str]) -> dict[str, str]:
 def write_jdbc(
     df: DataFrame, table: str, options: Mapping[str, str], connections: int = 16, batch_rows: int = 10_000
 ) -> None:
-    """Replace a table's rows over at most ``connections`` connections.
+    """Replace a table's rows over at most ``connections`` connections, each of which writes one partition.
+
+    Rows are dealt evenly to that many partitions first: a scan of any size then keeps its own tasks.
 
     The table itself is kept (``truncate``), so views on it survive a reload. Failures are raised.
     """
@@ -39,4 +41,4 @@ def write_jdbc(
         "numPartitions": str(connections),
         "batchsize": str(batch_rows),
     }
-    df.write.format("jdbc").options(**settings).mode("overwrite").save()
+    df.repartition(connections).write.format("jdbc").options(**settings).mode("overwrite").save()

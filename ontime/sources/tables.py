@@ -14,23 +14,29 @@ from pyspark.sql import types as T
 WRITE_OPTIONS = {"parquet.dictionary.page.size": str(16 * 1024 * 1024)}
 
 
+# What a row of a hashed relation takes beside its values: its entry in the map, header and key.
+ROW_BYTES = 64
+VALUE_BYTES = 8
+
+
 @dataclass(frozen=True)
 class Table:
-    """A stored table; dimensions come with the total width of their values."""
+    """A stored table; dimensions come with an estimate of what they take in memory once broadcast."""
 
     frame: DataFrame
     path: str
-    text_bytes: int | None = None
+    memory_bytes: int | None = None
 
 
-def text_bytes(df: DataFrame) -> Column:
-    """Total width of all values as text, as an aggregate."""
-    width = F.octet_length(F.concat_ws("", *[F.col(c).cast("string") for c in df.columns]))
-    return F.coalesce(F.sum(width), F.lit(0)).alias("text_bytes")
+def memory_bytes(df: DataFrame) -> Column:
+    """An upper estimate of a table as a hashed relation, as an aggregate: rows, values and text."""
+    texts = [F.octet_length(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in df.columns]
+    row = F.lit(ROW_BYTES + VALUE_BYTES * len(df.columns))
+    return F.coalesce(F.sum(sum(texts, row)), F.lit(0)).cast("bigint").alias("memory_bytes")
 
 
 def measure(df: DataFrame) -> int:
-    return df.agg(text_bytes(df)).first()["text_bytes"]
+    return df.agg(memory_bytes(df)).first()["memory_bytes"]
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime import testbed
-from ontime.operators.features import enrich, feature_frame, hash_split
+from ontime.operators.features import enrich, feature_frame, feature_table, labelled
 from ontime.operators.metrics import area_under_roc, confusion, confusion_metrics, score_counts
-from ontime.operators.models import GRADIENT_BOOSTING, Fitted, Learner, TrainingSet, fit, metrics_table, prepare
+from ontime.operators.models import (
+    GRADIENT_BOOSTING, Fitted, Learner, TrainingSet, fit, metrics_table, plain, prepare,
+)
 from ontime.plans.load import Warehouse, load_warehouse
 from ontime.schemas import FLIGHTS, TARGETS
 from ontime.session import shared_folder
@@ -33,7 +35,10 @@ RULES = {
 
 # A label that follows from the features, so that a fitted model has one right answer.
 PLANTED = "is_long_haul"
-PLANTED_LEARNER = Learner(GRADIENT_BOOSTING.name, GRADIENT_BOOSTING.kind, {"maxIter": 3, "maxDepth": 2})
+
+# The registered training queries fit on at most so many labelled rows, drawn by content. Trees, iterations,
+# depths, grids, folds, targets and all evaluated rows are those of the library.
+FIT_ROWS = 500
 
 
 class Workspace:
@@ -96,20 +101,28 @@ class Workspace:
     def features(self, target: str) -> DataFrame:
         return feature_frame(self.enriched, TARGETS[target])
 
-    def fit(self, label: str, learner: Learner, folds: int = 3) -> tuple[Fitted, DataFrame]:
-        """A learner fitted on the hash split of a label's frame, and the rows held out.
+    @cached_property
+    def feature_table(self) -> DataFrame:
+        """Features, every label and its split, stored once."""
+        planted = self.enriched.withColumn(PLANTED, F.col("distance") > 1000)
+        return write_table(feature_table(planted, {**TARGETS, PLANTED: PLANTED}), f"{self.folder}/features").frame
 
-        The encoded training rows of a label are stored once and serve every learner.
-        """
-        frame = self.planted if label == PLANTED else feature_frame(self.enriched, label)
-        train, test = hash_split(frame)
+    def training_set(self, label: str) -> TrainingSet:
+        """The encoded training rows of a label, stored once; they serve every learner."""
         if label not in self._training:
-            partitions = self.spark.sparkContext.defaultParallelism
-            self._training[label] = prepare(train, label, f"{self.folder}/vectors_{label}", partitions)
+            train, _ = labelled(self.feature_table, label)
+            self._training[label] = prepare(
+                train, label, f"{self.folder}/vectors_{label}", partitions=1, fit_rows=FIT_ROWS
+            )
+        return self._training[label]
+
+    def fit(self, label: str, learner: Learner) -> tuple[Fitted, DataFrame]:
+        """A learner fitted on a label's training rows, and the rows held out."""
+        training = self.training_set(label)
         try:
-            return fit(self._training[label], learner, folds), test
+            return fit(training, learner), labelled(self.feature_table, label)[1]
         finally:
-            self._training[label].release()
+            training.release()
 
     @property
     def planted(self) -> DataFrame:
@@ -118,7 +131,7 @@ class Workspace:
 
     @cached_property
     def planted_model(self) -> Fitted:
-        return self.fit(PLANTED, PLANTED_LEARNER)[0]
+        return self.fit(PLANTED, plain(GRADIENT_BOOSTING))[0]
 
     @cached_property
     def rule_counts(self) -> DataFrame:

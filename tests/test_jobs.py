@@ -52,16 +52,17 @@ def test_unknown_reports_and_jobs_are_refused(loaded, tmp_path):
 def test_train_and_score(spark, loaded, tmp_path, monkeypatch):
     small = (Learner(GRADIENT_BOOSTING.name, GRADIENT_BOOSTING.kind, {"maxIter": 1, "maxDepth": 1}),)
     monkeypatch.setattr(jobs, "compare_models", lambda *a, **k: training.compare_models(*a, learners=small, **k))
-    jobs.main(["train", "--warehouse", loaded, "--out", str(tmp_path / "run"), "--partitions", "4", "--compact"])
-    assert {p.name for p in (tmp_path / "run").iterdir()} == {
-        "run_metrics", "best_models", "arrival_GBT", "departure_GBT",
+    jobs.main(["train", "--warehouse", loaded, "--out", str(tmp_path / "run"), "--partitions", "4", "--compact",
+               "--split", "random", "--stamp", "first"])
+    assert {p.name for p in (tmp_path / "run" / "first").iterdir()} == {
+        "run_metrics", "best_models", "timings", "arrival_GBT", "departure_GBT",
     }
     row = {
         "carrier_code": "C0001", "origin": "A01", "destination": "A02", "distance": 100, "air_time": 42,
         "day_of_week": "Sunday", "is_weekend": 1.0, "day_of_month": 3, "month": 4, "time_of_day": "Night",
     }
     (tmp_path / "rows.json").write_text(json.dumps(row) + "\n" + json.dumps({**row, "origin": "elsewhere"}))
-    jobs.main(["score", "--model", str(tmp_path / "run" / "arrival_GBT"), "--rows", str(tmp_path / "rows.json"),
+    jobs.main(["score", "--model", str(tmp_path / "run" / "first" / "arrival_GBT"), "--rows", str(tmp_path / "rows.json"),
                "--out", str(tmp_path / "scored")])
     scored = spark.read.parquet(str(tmp_path / "scored"))
     assert scored.count() == 2 and scored.columns[-2:] == ["prediction", "delay_probability"]

@@ -2,8 +2,9 @@ import pytest
 from helpers import plan, rows
 from pyspark.sql import functions as F
 
-from ontime.operators.joins import attach_dimension, measured_bytes
-from ontime.sources.tables import write_table
+from ontime.operators.joins import attach_dimension
+from ontime.plans.load import open_warehouse
+from ontime.sources.tables import Table, measure, write_table
 
 
 @pytest.fixture(scope="module")
@@ -22,30 +23,36 @@ def dimension(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("broadcast_bytes", [10**9, 0])
-def test_both_ways_give_the_rows_of_a_plain_join(spark, hot_facts, dimension, how, broadcast_bytes):
-    got = attach_dimension(hot_facts, dimension, "key", how, broadcast_bytes, salts=5)
-    expected = hot_facts.join(dimension, "key", how)
+def test_both_ways_give_the_rows_of_a_plain_join(spark, hot_facts, dimension, tmp_path, how, broadcast_bytes):
+    facts = hot_facts.unionByName(spark.createDataFrame([(None, -1), (None, -2)], "key int, payload bigint"))
+    stored = write_table(dimension, str(tmp_path / "dim"), dimension=True)
+    got = attach_dimension(facts, stored, "key", how, broadcast_bytes)
+    expected = facts.join(dimension, "key", how)
     assert got.columns == expected.columns
     assert rows(got) == rows(expected)
 
 
-def test_only_a_small_dimension_is_broadcast(hot_facts, dimension):
-    assert "BroadcastHashJoin" in plan(attach_dimension(hot_facts, dimension, "key"))
-    assert "_salt" in plan(attach_dimension(hot_facts, dimension, "key", broadcast_bytes=10))
+def test_only_a_measured_small_dimension_is_broadcast(hot_facts, dimension, tmp_path):
+    stored = write_table(dimension, str(tmp_path / "dim"), dimension=True)
+    hinted = "ResolvedHint"
+    logical = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert hinted in logical(attach_dimension(hot_facts, stored, "key"))
+    assert hinted not in logical(attach_dimension(hot_facts, stored, "key", broadcast_bytes=10))
+    assert hinted not in logical(attach_dimension(hot_facts, Table(dimension, "unmeasured"), "key"))
+    assert "Generate" not in plan(attach_dimension(hot_facts, stored, "key", broadcast_bytes=0))
 
 
-def test_the_hot_key_is_shared_by_all_salts(hot_facts):
-    salted = hot_facts.where("key = 7").withColumn("salt", F.spark_partition_id() % 4)
-    sizes = [r["count"] for r in salted.groupBy("salt").count().collect()]
-    assert len(sizes) == 4 and max(sizes) < 2 * min(sizes)
+def test_rows_count_whatever_they_hold(spark):
+    empty = spark.range(100_000).select(F.lit(None).cast("string").alias("a"), F.lit("").alias("b"))
+    assert measure(empty) >= 100_000 * 64
+    assert measure(empty.limit(0)) == 0
+    narrow = spark.range(100_000).selectExpr("cast(id % 10 AS int) AS a", "cast(1 AS int) AS b")
+    assert measure(narrow) >= 100_000 * 80
 
 
-def test_width_is_measured_once_when_written(spark, dimension, tmp_path):
-    table = write_table(dimension, str(tmp_path / "dim"), dimension=True)
-    assert table.text_bytes == measured_bytes(table) == measured_bytes(dimension)
-    assert table.text_bytes == sum(len(str(k)) + len(n) for k, n in dimension.collect())
-
-
-def test_nulls_in_a_dimension_are_measured_as_empty(spark):
-    assert measured_bytes(spark.createDataFrame([(None, None)], "a int, b string")) == 0
-    assert measured_bytes(spark.createDataFrame([], "a int, b string")) == 0
+def test_a_reopened_warehouse_knows_its_sizes(spark, ws):
+    loaded = ws.warehouse.tables
+    opened = open_warehouse(spark, f"{ws.folder}/warehouse")
+    for name, table in loaded.items():
+        assert opened.tables[name].memory_bytes == table.memory_bytes
+        assert (table.memory_bytes is not None) == name.startswith("dim_")

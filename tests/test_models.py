@@ -233,9 +233,15 @@ def test_comparison_covers_both_targets_and_stores_the_winners(spark, enriched,
     assert set(paths) == {"arrival", "departure"}
     for target, path in paths.items():
         assert load_model(path).stages[-1].uid == comparison.best()[target].model.stages[-1].uid
-    stored = spark.read.json(str(tmp_path / "out" / "run_metrics"))
+    again = store_comparison(comparison, str(tmp_path / "out"), "another run")
+    assert not set(again.values()) & set(paths.values()) and all(load_model(p) for p in paths.values())
+    run = paths["arrival"].rsplit("/", 1)[0]
+    stored = spark.read.json(f"{run}/run_metrics")
     assert stored.count() == 4
-    described = spark.read.json(str(tmp_path / "out" / "best_models"))
+    timings = {r["part"]: r["seconds"] for r in spark.read.json(f"{run}/timings").collect()}
+    assert set(timings) == {"preprocessing", "split", "training", "evaluation", "total"}
+    assert timings["total"] >= timings["training"] > 0
+    described = spark.read.json(f"{run}/best_models")
     assert {r["target"]: r["model_path"] for r in described.collect()} == paths
     assert {*metrics.METRICS, "training_time", "evaluation_time"} < set(described.columns)
 
@@ -244,3 +250,31 @@ def test_metrics_table_keeps_listing_order(spark, boosted):
     values = {**{m: 0.5 for m in metrics.METRICS}, "evaluation_time": 1.0}
     got = metrics_table(spark, [("arrival", boosted, values), ("departure", boosted, values)])
     assert rows(got.select("position", "target")) == [(0, "arrival"), (1, "departure")]
+
+
+@pytest.mark.parametrize("split", ["hash", "random"])
+def test_facts_are_evaluated_once(spark, enriched, tmp_path, split):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    counted = enriched.mapInArrow(count, enriched.schema)
+    one = (Learner("GBT", GRADIENT_BOOSTING.kind, {"maxIter": 1, "maxDepth": 1}),)
+    comparison = compare_models(counted, str(tmp_path / split), one, split=split)
+    assert seen.value == enriched.count() and comparison.metrics.count() == 2
+
+
+def test_the_feature_table_splits_as_the_frames_do(enriched):
+    broken = enriched.withColumn("air_time", F.when(F.col("month") != 5, F.col("air_time")))
+    table = features.feature_table(broken, {"arrival": LABEL})
+    for got, expected in zip(features.labelled(table, LABEL), features.hash_split(features.feature_frame(broken, LABEL))):
+        assert rows(got) == rows(expected)
+
+
+def test_rows_to_fit_are_bounded_by_content(frame, tmp_path):
+    first = prepare(frame, LABEL, str(tmp_path / "a"), fit_rows=50)
+    second = prepare(frame.repartition(7), LABEL, str(tmp_path / "b"), fit_rows=50)
+    assert rows(first.vectors) == rows(second.vectors) and first.vectors.count() == 50

@@ -44,7 +44,7 @@ def test_percentage_equals_decimal_arithmetic(spark):
 def test_share(spark, part, whole, expected):
     df = spark.createDataFrame([(part, whole)], "p double, w double")
     got = df.select(share(F.col("p"), F.col("w")).alias("x"))
-    assert dict(got.dtypes)["x"] == "decimal(5,2)"
+    assert dict(got.dtypes)["x"] == "decimal(38,2)"
     assert got.first()["x"] == (None if expected is None else Decimal(expected))
 
 

@@ -2,7 +2,9 @@ import datetime as dt
 
 import pytest
 from helpers import flights, rows
+from pyspark.sql import functions as F
 
+from ontime.functions import calendar, measures
 from ontime.operators import star
 from ontime.operators.quality import key_uniqueness, orphan_facts
 from ontime.schemas import AIRPORTS, DELAY_CAUSES
@@ -113,3 +115,20 @@ def test_key_checks(spark):
     orphans = {r["reference"]: tuple(r)[1:] for r in orphan_facts(built).collect()}
     assert orphans["origin"] == (1, 2)
     assert orphans["destination"] == orphans["carrier_code"] == orphans["date_code"] == (0, 0)
+
+
+def test_a_date_needs_all_three_parts(spark):
+    given = spark.createDataFrame([(2013, None, 5), (2013, 5, None), (None, 1, 1), (2013, 2, 30), (2013, 5, 1)], "y int, m int, d int")
+    got = given.select(calendar.calendar_date(F.col("y"), F.col("m"), F.col("d")).cast("string")).collect()
+    assert [r[0] for r in got] == [None, None, None, None, "2013-05-01"]
+
+
+def test_a_clock_needs_hour_and_minute(spark):
+    given = spark.createDataFrame([(None, 5), (5, None), (5, 7)], "h int, m int")
+    assert [r[0] for r in given.select(calendar.clock_text(F.col("h"), F.col("m"))).collect()] == [None, None, "05:07"]
+
+
+def test_a_large_share_is_kept(spark):
+    given = spark.createDataFrame([(1000.0, 10.0), (1.0, 0.0)], "part double, whole double")
+    got = [r[0] for r in given.select(measures.share(F.col("part"), F.col("whole")).cast("double")).collect()]
+    assert got == [10000.0, None]
