@@ -39,7 +39,7 @@ def test_percentage_equals_decimal_arithmetic(spark):
 @pytest.mark.parametrize(
     "part, whole, expected",
     [(1.0, 3.0, "33.33"), (1.0, 8.0, "12.50"), (5.0, 0.0, None), (None, 5.0, None), (5.0, None, None),
-     (20.0, 2.0, None), (9.99, 1.0, "999.00")],
+     (20.0, 2.0, "1000.00"), (9.99, 1.0, "999.00")],
 )
 def test_share(spark, part, whole, expected):
     df = spark.createDataFrame([(part, whole)], "p double, w double")
@@ -169,9 +169,9 @@ def test_causes_by_month_are_summed_in_double(spark):
     assert report.first()["total_delayed_flights"] == pytest.approx(4.1, abs=1e-6)
 
 
-def test_share_beyond_the_decimal_is_null(spark):
+def test_a_share_over_a_thousand_percent_is_kept(spark):
     report = reports.delay_reasons_by_month(reasons(spark, {"carrier_cause_delay": 100.0}))
-    assert report.first()["carrier_delay_percentage"] is None
+    assert report.first()["carrier_delay_percentage"] == 2500
 
 
 def test_facts_never_cross_the_network_before_they_are_counted(ws):
