@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -145,19 +146,16 @@ def _count_pairs(sent):
     return rows
 
 
-def pair_counts(train: DataFrame, words: Vocabulary) -> np.ndarray:
-    """Counts of (class some tokens back, class) over all training tokens, for each lag.
+def pair_counts(train: DataFrame, words: Vocabulary) -> DataFrame:
+    """``(cell, n)``: counts of (class some tokens back, class) over all training tokens, for each lag.
 
-    At most ``2 * CLASSES ** 2`` sums reach the driver, however large the corpus is.
+    There are at most ``2 * CLASSES ** 2`` cells, however large the corpus is. Each lag has one at least.
     """
-    sent = train.sparkSession.sparkContext.broadcast(words)
-    cells = (
-        train.select("text").mapInArrow(_count_pairs(sent), "cell bigint, n bigint")
-        .groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    )
-    table = np.zeros(len(LAGS) * CLASSES * CLASSES)
-    table[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(float)
-    return table.reshape(len(LAGS), CLASSES, CLASSES)
+    spark = train.sparkSession
+    sent = spark.sparkContext.broadcast(words)
+    found = train.select("text").mapInArrow(_count_pairs(sent), "cell bigint, n bigint")
+    none = spark.range(len(LAGS)).select((F.col("id") * CLASSES**2).alias("cell"), F.lit(0).cast("bigint").alias("n"))
+    return found.unionByName(none).groupBy("cell").agg(F.sum("n").alias("n"))
 
 
 # -- the model
@@ -220,8 +218,24 @@ class LogBilinear:
         return self.words.other_tokens + self.words.other_distinct + 1.0
 
 
+def _train_group(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
+    counts = np.zeros(CLASSES**2)
+    counts[cells["cell"].to_numpy(np.int64) % CLASSES**2] = cells["n"].to_numpy(float)
+    chances = train_lag(counts.reshape(CLASSES, CLASSES))
+    return pd.DataFrame({"lag": key[0], "before": range(CLASSES), "chances": [row.tobytes() for row in chances]})
+
+
 def fit(train: DataFrame, words: Vocabulary) -> LogBilinear:
-    return LogBilinear(words, np.stack([train_lag(c) for c in pair_counts(train, words)]))
+    """A model for each lag, trained in a task of its own on its sums, which are at most ``CLASSES ** 2``."""
+    lag = F.floor(F.col("cell") / CLASSES**2).cast("int")
+    rows = (
+        pair_counts(train, words).groupBy(lag.alias("lag"))
+        .applyInPandas(_train_group, "lag int, before int, chances binary").collect()
+    )
+    chances = np.zeros((len(LAGS), CLASSES, CLASSES), np.float32)
+    for row in rows:
+        chances[row["lag"], row["before"]] = np.frombuffer(row["chances"], np.float32)
+    return LogBilinear(words, chances)
 
 
 # -- scoring
