@@ -18,7 +18,8 @@ def profile(df: DataFrame) -> DataFrame:
     """One row per column: position, type, rows, nulls and exact distinct values.
 
     Every column is grouped on its own. From columnar files each branch reads just that column,
-    so together they read the table once, and counts are combined before they are shuffled.
+    so together they read the table once, and counts are combined before they are shuffled. Files of
+    text such as CSV are parsed once for each column: store such a table first.
     """
 
     def one(position: int, name: str, kind: str) -> DataFrame:

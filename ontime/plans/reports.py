@@ -138,6 +138,7 @@ def flight_list(
         (dim_carrier, "carrier_code"), (dim_date, "date_code"), (dim_route, "route_key"), (dim_time, "time_id"),
     ]:
         joined = attach_dimension(joined, dimension, key)
+    # The columns of the published list.
     return joined.select(
         "flight_number", "tail_number", "carrier_code", "carrier_name",
         "date", "day_of_week", "month", "year", "quarter",
@@ -178,6 +179,7 @@ def delay_reason_list(
 ) -> DataFrame:
     """Every delay-cause row with its carrier and airport."""
     joined = attach_dimension(attach_dimension(reasons, dim_carrier, "carrier_code"), dim_airport, "airport_code")
+    # The columns of the published list.
     return joined.select(
         "year", "month", "carrier_code", "carrier_name", "airport_code", "airport_name", "city", "country",
         "total_arrivals", "total_delays", "carrier_cause_delay", "weather_cause_delay", "nas_cause_delay",
