@@ -274,8 +274,9 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     names of statistics are replaced; no rows give no rows.
     """
     own = statistics(docs, text).withColumns(vector())
-    rows = stage(own.where(~F.col("base_failed")).select(*GROUP, *[f"x{i}" for i in range(D)]), "vectors")
-    return _judged(own, rows)
+    # Filtered once stored: a filter would be moved below the statistics and compute them again.
+    rows = stage(own.select(*GROUP, *[f"x{i}" for i in range(D)], "base_failed"), "vectors")
+    return _judged(own, rows.where("NOT base_failed").drop("base_failed"))
 
 
 def judged_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -291,7 +292,7 @@ def _judged(own: DataFrame, rows: DataFrame) -> DataFrame:
     )
     within = F.coalesce(F.col("d2") <= LIMIT, F.lit(True))
     return (
-        joined.withColumn("d2", squared_distance()).withColumn("kept", ~F.col("base_failed") & within)
+        joined.withColumn("d2", squared_distance()).withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(within))
         .drop(*_FACTOR, *[f"x{i}" for i in range(D)])
     )
 
