@@ -285,11 +285,14 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
         "fingerprints",
     )
     grouped = stage(components_of(found), "components")
-    chosen = grouped.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(
-        F.min(row).alias(row)
-    )
+    return keep_smallest(stored, grouped, row, "component_id").select(*docs.columns)
+
+
+def keep_smallest(stored: DataFrame, grouped: DataFrame, row: str, group: str) -> DataFrame:
+    """The rows of ``stored`` less those that ``grouped`` has beside the first with its component's smallest id."""
+    chosen = grouped.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy(group).agg(F.min(row).alias(row))
     dropped = grouped.join(chosen, row, "left_anti").select(row)
-    return stored.join(dropped, row, "left_anti").select(*docs.columns)
+    return stored.join(dropped, row, "left_anti")
 
 
 def _fingerprint_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
