@@ -22,8 +22,8 @@ _WINDOW = "(?<![^ ])(?=([^ ]++ [^ ]++ [^ ]++))[^ ]++"
 # Share of a group that the estimate is drawn from, and the rounds that concentrate it.
 CORE_SHARE = 0.75
 ROUNDS = 5
-# Chance that a document drawn from a normal group is rejected. Small, as real statistics have long tails.
-REJECT_CHANCE = 1e-9
+# Chance that a document drawn from a normal group is rejected.
+REJECT_CHANCE = 1e-3
 # Rows that the estimate over all documents weighs beside a group's own.
 PRIOR_ROWS = 50
 # Statistics are whole multiples of 1/UNIT, so that sums do not depend on their order.
@@ -89,9 +89,10 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
 # -- the statistic vector
 
-# Least spread of each coordinate: one that hardly varies in the core must not reject all that differs.
+# Least spread of each coordinate. Most clean texts hold no symbols and repeat nothing, so these two hardly
+# vary in the core; a few symbols or a repeated line, or length alone, must not reject a text.
 COORDINATES = (
-    ("length", 1.0), ("word_length", 0.15), ("symbols", 1.25), ("repeats", 1.0),
+    ("length", 1.0), ("word_length", 0.05), ("symbols", 0.5), ("repeats", 1.0),
 )
 D = len(COORDINATES)
 
