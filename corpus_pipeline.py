@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ontime.llm import minhash, mixing, packing, quality
+from ontime.llm import mixing, packing, quality, simhash
 from ontime.llm.common import stage, table
 
 
@@ -19,8 +19,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word Jaccard similarity of 0.8 or more) stays."""
-    return minhash.keep_one(docs)
+    """One document of each group stays: three-word fingerprints linked at two or fewer differing bits."""
+    return simhash.keep_one(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
