@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ontime.functions.keys import surrogate_key
 from ontime.operators import metrics, quality, star
-from ontime.operators.features import encoder, hash_split, index_stage, one_hot_stage
+from ontime.operators.features import encoder, hash_split, index_by_tables, index_stage, one_hot_stage
 from ontime.operators.models import GRADIENT_BOOSTING, RANDOM_FOREST, Learner, evaluate, plain, score
 from ontime.plans import reports
 from ontime.schemas import AIRPORTS, CATEGORICAL_FEATURES, DELAY_CAUSES, FEATURES, FLIGHTS, TARGETS
@@ -53,6 +53,10 @@ def table_profile(ws: Workspace) -> DataFrame:
     return quality.profile(ws.flights)
 
 
+def csv_profile(ws: Workspace) -> DataFrame:
+    return quality.profile_in_one_scan(scan_csv(ws.spark, ws.flights_csv, null_text="NA"))
+
+
 def sample_rows(ws: Workspace) -> DataFrame:
     return quality.sample(ws.warehouse.flights.frame)
 
@@ -203,6 +207,11 @@ def string_index(ws: Workspace) -> DataFrame:
     return index_stage().fit(frame).transform(frame)
 
 
+def string_index_tables(ws: Workspace) -> DataFrame:
+    """The same indexes from stored dictionaries, ranked and joined without a category on the driver."""
+    return index_by_tables(ws.features("arrival").select(*CATEGORICAL_FEATURES), ws.dictionaries)
+
+
 def one_hot(ws: Workspace) -> DataFrame:
     indexed = string_index(ws)
     encoded = one_hot_stage().fit(indexed).transform(indexed)
@@ -322,12 +331,12 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     **{
         build.__name__: build
         for build in (
-            conform_schema, null_fill, normalize_flights, normalize_delays, table_profile, sample_rows,
+            conform_schema, null_fill, normalize_flights, normalize_delays, table_profile, csv_profile, sample_rows,
             key_uniqueness, key_uniqueness_packed_key, orphan_facts, surrogate_keys,
             dim_carrier, dim_airport, dim_date, dim_route, dim_time, fact_flights, delay_reasons,
             sink_star_roundtrip, sink_delays_roundtrip, report_views, rp_monthly_delays_packed_key,
             enriched_flights, features_arrival, features_departure, model_row_counts, split_hash, feature_splits,
-            string_index, one_hot, feature_vector, train_rf, train_gbt, cv_grid, score_batch, model_roundtrip,
+            string_index, string_index_tables, one_hot, feature_vector, train_rf, train_gbt, cv_grid, score_batch, model_roundtrip,
             eval_confusion_metrics, eval_auc, best_model, metrics_long, run_metrics_json,
         )
     },

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from ontime.functions.keys import hash_bucket
 from ontime.operators.joins import attach_dimension
+from ontime.operators.running import running_totals
 from ontime.schemas import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES
-from ontime.sources.tables import Table
+from ontime.sources.tables import Table, write_table
 
 TRAIN_SHARE = 0.8
 SEED = 42
@@ -85,6 +86,35 @@ def index_stage(categorical: list[str] = CATEGORICAL_FEATURES) -> StringIndexer:
     )
 
 
+def category_table(df: DataFrame, column: str, path: str) -> Table:
+    """The dictionary ``(<column>, n, <column>_idx)`` of a column's values, stored: the indexes of :func:`index_stage`.
+
+    Values are counted per partition before they are shuffled; their rank is a running total over all
+    of them in the order of count and value. No value comes to the driver, so a column of identifiers
+    may be indexed too. Values have the order of their bytes. Nulls are not counted.
+    """
+    value = F.col(column).cast("string")
+    counts = df.where(value.isNotNull()).groupBy(value.alias(column)).agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_totals(counts, [F.desc("n"), F.asc(column)], {f"{column}_idx": F.lit(1)})
+    return write_table(ranked.withColumn(f"{column}_idx", F.col(f"{column}_idx").cast("double")), path, dimension=True)
+
+
+def index_by_tables(df: DataFrame, dictionaries: Mapping[str, Table]) -> DataFrame:
+    """``df`` with ``<column>_idx`` for each column that has a dictionary.
+
+    A dictionary of proven small size is broadcast, any other joined by value, where adaptive execution
+    splits the partition of a frequent one. A value or null that the dictionary lacks gets the number of its
+    entries, as an index of its own.
+    """
+    for column, dictionary in dictionaries.items():
+        index = f"{column}_idx"
+        unseen = dictionary.frame.agg(F.count(F.lit(1)).cast("double").alias("__unseen"))
+        entries = Table(dictionary.frame.select(F.col(column).alias("__value"), index), dictionary.path, dictionary.memory_bytes)
+        found = attach_dimension(df.withColumn("__value", F.col(column).cast("string")), entries, "__value", how="left")
+        df = found.join(F.broadcast(unseen)).withColumn(index, F.coalesce(index, "__unseen")).drop("__value", "__unseen")
+    return df
+
+
 def one_hot_stage(categorical: list[str] = CATEGORICAL_FEATURES) -> OneHotEncoder:
     return OneHotEncoder(
         inputCols=[f"{c}_idx" for c in categorical], outputCols=[f"{c}_ohe" for c in categorical]

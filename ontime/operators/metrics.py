@@ -6,6 +6,8 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ontime.operators.running import running_totals
+
 # Metrics of one evaluated model, in report order.
 METRICS = ["auc", "accuracy", "precision", "recall", "f1"]
 
@@ -19,8 +21,37 @@ def score_counts(scored: DataFrame, label: str, score: Column, *by: str) -> Data
     return scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
-def area_under_roc(counts: DataFrame, bins: int = 1000) -> float:
-    """Area under the ROC curve of :func:`score_counts`; ``bins=0`` keeps every distinct score."""
+def exact_auc(counts: DataFrame, *by: str) -> DataFrame:
+    """The area under the ROC curve of :func:`score_counts`, exactly: ``(*by, auc)``.
+
+    It is the share of pairs of a late and an on-time row in which the late one has the higher score,
+    ties counting half. Sums of on-time rows below each distinct score are running totals over all
+    groups in one order, so neither a group nor a range of scores is one task's work. Without rows of
+    both classes it is 0. Sums are whole numbers, so the result does not depend on the layout.
+    """
+    late = F.col("label") == 1
+    zero = F.lit(0).cast("bigint")
+    steps = counts.groupBy(*by, "score").agg(
+        F.coalesce(F.sum(F.when(late, F.col("n"))), zero).alias("late"),
+        F.coalesce(F.sum(F.when(~late, F.col("n"))), zero).alias("on_time"),
+    )
+    below = running_totals(steps, [F.asc(c) for c in (*by, "score")], {"before": F.col("on_time")})
+    wide = "decimal(38,0)"
+    # Twice the pairs won. Groups follow one another, so what came before a group is taken off again.
+    summed = below.groupBy(*by).agg(
+        F.sum(F.col("late").cast("decimal(19,0)") * (2 * F.col("before") + F.col("on_time")).cast("decimal(19,0)")).cast(wide).alias("won"),
+        F.sum("late").cast("decimal(19,0)").alias("late"), F.sum("on_time").cast("decimal(19,0)").alias("on_time"),
+        F.min("before").cast("decimal(19,0)").alias("base"),
+    )
+    pairs = (F.col("late") * F.col("on_time")).cast(wide)
+    won = (F.col("won") - (2 * F.col("base") * F.col("late")).cast(wide)).cast("double") / 2
+    return summed.select(*by, F.when(pairs == 0, F.lit(0.0)).otherwise(won / F.nullif(pairs, F.lit(0)).cast("double")).alias("auc"))
+
+
+def area_under_roc(counts: DataFrame, bins: int = 0) -> float:
+    """Area under the ROC curve of :func:`score_counts`: exact, or over at most ``bins`` thresholds."""
+    if not bins:
+        return exact_auc(counts).first()["auc"]
     return BinaryClassificationEvaluator(
         labelCol="label", rawPredictionCol="score", weightCol="n", metricName="areaUnderROC", numBins=bins
     ).evaluate(counts)

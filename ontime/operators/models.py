@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from itertools import product
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from ontime.functions.keys import surrogate_key
 from ontime.operators.features import SEED, encoder
@@ -21,6 +24,7 @@ from ontime.operators.metrics import METRICS, area_under_roc, confusion, confusi
 from ontime.schemas import CATEGORICAL_FEATURES, FEATURE_ROW, NUMERIC_FEATURES
 from ontime.session import enable_checkpoints
 from ontime.sources.tables import write_table
+from ontime.staging import read_text, remove, write_text
 
 
 # How trees are grown, not what they look like: with more memory per task, each level of a deep
@@ -116,39 +120,97 @@ def prepare(
     return TrainingSet(write_table(encoded, path).frame, encoding, label, bins)
 
 
-def _grid(estimator, grid: Mapping[str, list[float]]) -> list[dict]:
-    points = product(*grid.values())
-    return [{estimator.getParam(name): value for name, value in zip(grid, point)} for point in points]
+def _points(grid: Mapping[str, list[float]]) -> list[dict[str, float]]:
+    return [dict(zip(grid, point)) for point in product(*grid.values())]
 
 
-def fit(training: TrainingSet, learner: Learner, folds: int = FOLDS, parallelism: int = PARALLELISM) -> Fitted:
-    """Fit one learner; with a grid, the point with the best cross-validated AUC is refitted on all rows."""
+def content_key(training: TrainingSet, learner: Learner, folds: int) -> str:
+    """A name for a search: what it fits (rows in any order), how, and on which folds."""
+    rows = training.vectors.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(_row_hash(training).cast("decimal(20,0)")).alias("h")
+    ).first()
+    said = [learner.name, sorted(learner.settings.items()), training.label, training.bins, SEED, folds, rows["n"], str(rows["h"])]
+    return hashlib.sha256(json.dumps(said).encode()).hexdigest()[:32]
+
+
+def _row_hash(training: TrainingSet) -> Column:
+    return F.xxhash64(vector_to_array("features"), F.col(training.label))
+
+
+def with_fold(training: TrainingSet, folds: int) -> DataFrame:
+    """Training rows with the fold they are held out in, by content: the same in every layout and after every
+    restart, and copies of a row are in one fold."""
+    return training.vectors.withColumn("fold", F.pmod(_row_hash(training), F.lit(folds)).cast("int"))
+
+
+def cross_validate(
+    training: TrainingSet, learner: Learner, folds: int = FOLDS, parallelism: int = PARALLELISM, ledger: str | None = None
+) -> list[tuple[dict[str, float], float]]:
+    """The grid's points with their mean AUC over the folds, ``parallelism`` fits at a time.
+
+    Each score is noted in ``ledger``, a folder that outlives the run, as soon as it is known, under the
+    content of the training set and the settings. A search that was stopped takes up what is noted there and
+    fits the rest only; other rows or settings have another name and share nothing.
+    """
+    spark = training.vectors.sparkSession
+    points = _points(learner.grid)
+    notes = f"{ledger}/{content_key(training, learner, folds)}" if ledger else None
+    rows = with_fold(training, folds)
+    bound = learner.estimator(training.label, training.bins)
+    scorer = BinaryClassificationEvaluator(labelCol=training.label)
+
+    def note(point: dict[str, float], fold: int) -> str:
+        named = "-".join(f"{name}={value}" for name, value in sorted(point.items()))
+        return f"{notes}/{named}-fold={fold}"
+
+    def score(task: tuple[dict[str, float], int]) -> float:
+        point, fold = task
+        known = read_text(spark, note(point, fold)) if notes else None
+        if known and known.endswith("\n"):
+            return float(known)
+        params = {bound.getParam(name): value for name, value in point.items()}
+        fitted = bound.fit(rows.where(F.col("fold") != fold), params)
+        auc = float(scorer.evaluate(fitted.transform(rows.where(F.col("fold") == fold))))
+        if notes:
+            if known is not None:  # cut short when it was written
+                remove(spark, note(point, fold))
+            write_text(spark, note(point, fold), f"{auc!r}\n")
+        return auc
+
+    tasks = [(point, fold) for point in points for fold in range(folds)]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        jobs = [pool.submit(inheritable_thread_target(spark)(score), task) for task in tasks]
+        try:
+            found = [job.result() for job in jobs]
+        except BaseException:
+            pool.shutdown(wait=True, cancel_futures=True)
+            raise
+    return [(point, sum(found[k * folds : (k + 1) * folds]) / folds) for k, point in enumerate(points)]
+
+
+def fit(
+    training: TrainingSet, learner: Learner, folds: int = FOLDS, parallelism: int = PARALLELISM, ledger: str | None = None
+) -> Fitted:
+    """Fit one learner; with a grid, the point with the best cross-validated AUC is refitted on all rows.
+
+    ``ledger`` lets a search that was stopped go on, see :func:`cross_validate`.
+    """
     started = time.perf_counter()
     estimator, vectors = learner.estimator(training.label, training.bins), training.hold()
-    scores = []
+    scores, chosen = [], {}
     if learner.grid:
-        points = _grid(estimator, learner.grid)
-        search = CrossValidator(
-            estimator=estimator,
-            estimatorParamMaps=points,
-            evaluator=BinaryClassificationEvaluator(labelCol=training.label),
-            numFolds=folds,
-            seed=SEED,
-            parallelism=parallelism,
-        ).fit(vectors)
-        best = search.bestModel
-        scores = [({p.name: v for p, v in point.items()}, float(auc)) for point, auc in zip(points, search.avgMetrics)]
-    else:
-        best = estimator.fit(vectors)
+        scores = cross_validate(training, learner, folds, parallelism, ledger)
+        chosen = max(scores, key=lambda scored: scored[1])[0]
+    best = estimator.fit(vectors, {estimator.getParam(name): value for name, value in chosen.items()})
     model = PipelineModel(stages=[*training.encoding.stages, best])
     return Fitted(learner.name, model, time.perf_counter() - started, scores)
 
 
-def evaluate(model: PipelineModel, test: DataFrame, label: str, bins: int = 1000) -> dict[str, float]:
+def evaluate(model: PipelineModel, test: DataFrame, label: str, bins: int = 0) -> dict[str, float]:
     """The five metrics, rows counted and scoring time. Rows are scored once and kept as counts per score.
 
-    The area under the curve is taken over at most ``bins`` thresholds, 1000 as in the usual evaluator;
-    0 takes every distinct score.
+    The area under the curve is exact; ``bins`` takes it over at most so many thresholds, as the usual
+    evaluator does with 1000.
     """
     started = time.perf_counter()
     late = vector_to_array("rawPrediction")[1]

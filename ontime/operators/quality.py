@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.operators.star import DIMENSION_KEYS, Star
@@ -19,7 +19,7 @@ def profile(df: DataFrame) -> DataFrame:
 
     Every column is grouped on its own. From columnar files each branch reads just that column,
     so together they read the table once, and counts are combined before they are shuffled. Files of
-    text such as CSV are parsed once for each column: store such a table first.
+    text such as CSV would be parsed once for each column: :func:`profile_in_one_scan` is for those.
     """
 
     def one(position: int, name: str, kind: str) -> DataFrame:
@@ -36,6 +36,36 @@ def profile(df: DataFrame) -> DataFrame:
     return _stack([one(i, name, kind) for i, (name, kind) in enumerate(df.dtypes, start=1)])
 
 
+def profile_in_one_scan(df: DataFrame) -> DataFrame:
+    """The rows of :func:`profile` from one reading of the input, for sources that cannot read a column alone.
+
+    Every row emits a digest of each of its values; they are counted per column and value in the partition
+    before the one shuffle, so a frequent value is one row of each task.
+    """
+
+    def digest(name: str, kind: str) -> Column:
+        value = F.col(name)
+        if kind in ("double", "float"):
+            value = F.when(value == 0, F.lit(0.0)).otherwise(value)  # the two zeros are equal
+        elif kind.startswith(("array", "struct")):
+            value = F.to_json(value)
+        return F.when(F.col(name).isNotNull(), F.unhex(F.md5(value.cast("string").cast("binary"))))
+
+    cells = F.array(*[
+        F.struct(F.lit(i).alias("position"), digest(name, kind).alias("value")) for i, (name, kind) in enumerate(df.dtypes, start=1)
+    ])
+    counts = df.select(F.inline(cells)).groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.groupBy("position").agg(
+        F.sum("n").alias("n_rows"), F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("n_nulls"), F.count("value").alias("n_distinct")
+    )
+    zero = F.lit(0).cast("bigint")
+    columns = [(i, name, kind) for i, (name, kind) in enumerate(df.dtypes, start=1)]
+    named = df.sparkSession.createDataFrame(columns, "position int, column_name string, data_type string")
+    return named.join(found, "position", "left").select(
+        "position", "column_name", "data_type", *[F.coalesce(c, zero).alias(c) for c in ("n_rows", "n_nulls", "n_distinct")]
+    )
+
+
 def sample(df: DataFrame, n: int = 5) -> DataFrame:
     """The first ``n`` rows in the order of all columns: the same rows on every run."""
     return df.orderBy(*[F.asc_nulls_first(c) for c in df.columns]).limit(n)

@@ -182,6 +182,8 @@ _PROFILE = _union(
         for i, c in enumerate(_FLIGHT_COLUMNS, start=1)
     ]
 )
+# A file of text has text columns.
+_CSV_PROFILE = _PROFILE.replace("'int' AS data_type", "'string' AS data_type")
 _SAMPLE = (
     f"SELECT {', '.join(_FLIGHT_COLUMNS)} FROM normal "
     f"ORDER BY {', '.join(f'{c} NULLS FIRST' for c in _FLIGHT_COLUMNS)} LIMIT 5"
@@ -481,6 +483,7 @@ def oracle_sql() -> dict[str, str]:
         "normalize_flights": _sql(_NORMAL_FROM_CSV),
         "normalize_delays": _sql("SELECT * FROM delay_cause"),
         "table_profile": _sql(_PROFILE),
+        "csv_profile": _sql(_CSV_PROFILE),
         "sample_rows": _sql(_SAMPLE),
         "key_uniqueness": _sql(_UNIQUENESS),
         "key_uniqueness_packed_key": _sql(_UNIQUENESS, sep=""),
@@ -516,6 +519,11 @@ def oracle_sql() -> dict[str, str]:
             "SELECT " + ", ".join(f"m.{c}, CAST(i_{c}.idx AS DOUBLE) AS {c}_idx" for c in _CATEGORIES)
             + " " + _WITH_INDEXES,
         ),
+        "string_index_tables": _with_tables(
+            _INDEXES,
+            "SELECT " + ", ".join(f"m.{c}, CAST(i_{c}.idx AS DOUBLE) AS {c}_idx" for c in _CATEGORIES)
+            + " " + _WITH_INDEXES,
+        ),
         "one_hot": _with_tables(
             _INDEXES,
             "SELECT "

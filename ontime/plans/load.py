@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ontime.operators.star import DIMENSION_KEYS, Star, build_star, delay_reasons
 from ontime.schemas import AIRPORTS, DELAY_CAUSES, DELAY_MINUTES, FLIGHTS, KEY_SEPARATOR
+from ontime.session import plan_shuffles
 from ontime.sinks.outputs import write_json
 from ontime.sources.files import conform, normalize, scan_csv
-from ontime.sources.tables import Table, read_table, write_table
+from ontime.sources.tables import Table, new_version, publish, published, read_table, write_table
+from ontime.staging import remove
 
 # Names of the input files.
 FLIGHTS_FILE, CAUSES_FILE, AIRPORTS_FILE = "flight_data.csv", "delay_cause.csv", "airports.csv"
@@ -68,11 +70,22 @@ def load_warehouse(
     """All seven tables from the three inputs.
 
     The normalized flights are stored first: the six tables built from them then read narrow
-    column sets from Parquet rather than the raw files six times over. Any failure is raised.
+    column sets from Parquet rather than the raw files six times over.
+
+    Tables go to a folder of this load inside ``folder``, which becomes the warehouse in one step when all
+    are there. A load that fails raises, leaves the former warehouse as it was and removes its own folder.
     """
-    conformed = write_table(normalize(flights, FLIGHTS), f"{folder}/flights")
-    tables = store_star(build_star(conformed.frame, airports, sep, delay_minutes), folder)
-    tables["delay_reasons"] = store_delay_reasons(causes, folder)
+    spark = flights.sparkSession
+    plan_shuffles(spark, flights, airports, causes)
+    version = new_version(folder)
+    try:
+        conformed = write_table(normalize(flights, FLIGHTS), f"{version}/flights")
+        tables = store_star(build_star(conformed.frame, airports, sep, delay_minutes), version)
+        tables["delay_reasons"] = store_delay_reasons(causes, version)
+        publish(spark, folder, version)
+    except BaseException:
+        remove(spark, version)
+        raise
     return Warehouse(conformed, tables)
 
 
@@ -84,8 +97,13 @@ def load_files(spark: SparkSession, data: str, folder: str, **options) -> Wareho
 
 
 def open_warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    """A warehouse loaded earlier, with the sizes of its dimensions as they were noted then."""
-    sizes = {row["name"]: row["memory_bytes"] for row in spark.read.schema(SIZES_SCHEMA).json(f"{folder}/{SIZES}").collect()}
-    stored = {name: f"{folder}/{name}" for name in ["flights", *TABLES]}
+    """The warehouse that the latest finished load left, with the sizes of its dimensions as noted then."""
+    loads = published(spark, folder)
+    if not loads:
+        raise FileNotFoundError(f"no finished load in {folder}")
+    latest = loads[-1]
+    sizes = {row["name"]: row["memory_bytes"] for row in spark.read.schema(SIZES_SCHEMA).json(f"{latest}/{SIZES}").collect()}
+    stored = {name: f"{latest}/{name}" for name in ["flights", *TABLES]}
     tables = {name: Table(read_table(spark, path), path, sizes.get(name)) for name, path in stored.items()}
+    plan_shuffles(spark, *[table.frame for table in tables.values()])
     return Warehouse(tables.pop("flights"), tables)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ontime.staging import names_in, read_text, remove, write_text
 
 # Surrogate keys are 64 characters wide. A dictionary page of this size holds a quarter of a million
 # of them; beyond the default page, each row would carry its key in full.
@@ -53,7 +56,45 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, dimension: bool = False) -> Table:
-    """Replace a Parquet table and read it back, so later plans start from files of known size."""
-    df.write.mode("overwrite").options(**WRITE_OPTIONS).parquet(path)
-    stored = read_table(df.sparkSession, path, df.schema)
-    return Table(stored, path, measure(stored) if dimension else None)
+    """Replace a Parquet table and read it back, so later plans start from files of known size.
+
+    A dimension is measured while it is written, not by reading it again.
+    """
+    seen = Observation()
+    written = df.observe(seen, memory_bytes(df)) if dimension else df
+    written.write.mode("overwrite").options(**WRITE_OPTIONS).parquet(path)
+    return Table(read_table(df.sparkSession, path, df.schema), path, seen.get["memory_bytes"] if dimension else None)
+
+
+# -- versions of a folder of tables
+
+# Loads that have been published, one small file each, named by a rising number. It holds the name of the
+# folder with that load's tables and ends with a line end, so a file cut short is not taken for one.
+PUBLISHED = "_published"
+_DIGITS = 12
+
+
+def new_version(folder: str) -> str:
+    """A folder for the tables of a load that nobody reads yet."""
+    return f"{folder}/load-{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+
+
+def published(spark: SparkSession, folder: str) -> list[str]:
+    """Folders of all published loads that are still there, the latest last."""
+    notes = [read_text(spark, f"{folder}/{PUBLISHED}/{name}") for name in names_in(spark, f"{folder}/{PUBLISHED}")]
+    there = set(names_in(spark, folder))
+    return [f"{folder}/{note.strip()}" for note in notes if note and note.endswith("\n") and note.strip() in there]
+
+
+def publish(spark: SparkSession, folder: str, version: str, keep: int = 2) -> None:
+    """Make a finished load the one that readers open, in one step.
+
+    Of two loads that finish at once, the later takes the next number. The ``keep`` latest loads stay, so
+    that frames opened on the former one still find their files; older ones are removed.
+    """
+    name = version.rsplit("/", 1)[-1]
+    number = len(names_in(spark, f"{folder}/{PUBLISHED}"))
+    while not write_text(spark, f"{folder}/{PUBLISHED}/{number:0{_DIGITS}d}", f"{name}\n"):
+        number += 1
+    for old in published(spark, folder)[:-keep]:
+        remove(spark, old)

@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime import testbed
-from ontime.operators.features import enrich, feature_frame, feature_table, labelled
-from ontime.operators.metrics import area_under_roc, confusion, confusion_metrics, score_counts
+from ontime.operators.features import category_table, enrich, feature_frame, feature_table, labelled
+from ontime.operators.metrics import confusion, confusion_metrics, exact_auc, score_counts
 from ontime.operators.models import (
     GRADIENT_BOOSTING, Fitted, Learner, TrainingSet, fit, metrics_table, plain, prepare,
 )
 from ontime.plans.load import Warehouse, load_warehouse
-from ontime.schemas import FLIGHTS, TARGETS
+from ontime.schemas import CATEGORICAL_FEATURES, FLIGHTS, TARGETS
 from ontime.session import shared_folder
 from ontime.sources.tables import Table, write_table
 
@@ -107,6 +107,12 @@ class Workspace:
         planted = self.enriched.withColumn(PLANTED, F.col("distance") > 1000)
         return write_table(feature_table(planted, {**TARGETS, PLANTED: PLANTED}), f"{self.folder}/features").frame
 
+    @cached_property
+    def dictionaries(self) -> dict[str, Table]:
+        """The values of each category over all arrival features, with their indexes."""
+        frame = self.features("arrival")
+        return {c: category_table(frame, c, f"{self.folder}/index_{c}") for c in CATEGORICAL_FEATURES}
+
     def training_set(self, label: str) -> TrainingSet:
         """The encoded training rows of a label, stored once; they serve every learner."""
         if label not in self._training:
@@ -152,12 +158,12 @@ class Workspace:
 
     @cached_property
     def rule_metrics(self) -> DataFrame:
-        cells = confusion_metrics(confusion(self.rule_counts, "target", "model", "position"))
-        rows = []
-        for row in cells.orderBy("target", "position").collect():
-            mine = self.rule_counts.where((F.col("target") == row["target"]) & (F.col("model") == row["model"]))
-            values = {**row.asDict(), "auc": area_under_roc(mine, bins=0), "evaluation_time": 0.0}
-            rows.append((row["target"], Fitted(row["model"], None, 0.0, []), values))
+        by = ["target", "model", "position"]
+        cells = confusion_metrics(confusion(self.rule_counts, *by)).join(exact_auc(self.rule_counts, *by), by)
+        rows = [
+            (row["target"], Fitted(row["model"], None, 0.0, []), {**row.asDict(), "evaluation_time": 0.0})
+            for row in cells.orderBy("target", "position").collect()
+        ]
         return metrics_table(self.spark, rows)
 
 
