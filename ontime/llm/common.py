@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime.session import shared_folder
+from ontime.staging import staged_folder
 
 # White space that ends a word (space, tab, newline, vertical tab, form feed, return).
 SPACE = " \t\n\x0b\x0c\r"
@@ -22,10 +20,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     This cuts the lineage: what follows starts from committed files that outlive any executor,
-    so a task that is run again reads the same rows under the same numbers.
+    so a task that is run again reads the same rows under the same numbers. The folder belongs to the
+    open owner of :mod:`ontime.staging`, and goes with it.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
+    path = staged_folder(spark, f"llm/{name}")
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

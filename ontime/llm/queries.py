@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ontime.llm import chat, embeddings, licenses, lm, mixing, packing, quality, sharding, simhash, urls
+from ontime.llm import (
+    alignment, chat, embeddings, licenses, lm, mixing, packing, pieces, quality, sharding, simhash, trie, urls,
+)
 from ontime.llm.common import table
 
 
@@ -70,6 +72,22 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(docs)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path
+    return alignment.align(
+        table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model")
+    ).withColumnRenamed("id", "doc_id")
+
+
+def op12_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pieces.text_digests(pieces.encode_texts(docs, public_tokenizers.path("piece_bpe_32k.model")))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -78,7 +96,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = (
     op1_chat_format, op2_url_filter, op3_simhash_near_dedup, op4_packing, op5_quality_rules, op6_embedding_near_dedup,
-    op7_license_scan, op8_sharding, op9_lm_scoring, op10_source_mix, pipeline,
+    op7_license_scan, op8_sharding, op9_lm_scoring, op10_source_mix,
+    op11_token_alignment, op12_piece_encoding, op13_conversation_trie, pipeline,
 )
 
 
