@@ -3,6 +3,7 @@
     load   --data DIR --warehouse DIR [--separator SEP] [--delay-minutes N] [--jdbc [--connections N]]
     report --warehouse DIR --out DIR [NAME ...]
     train  --warehouse DIR --out DIR [--partitions N] [--parallelism N] [--split hash|random] [--compact]
+           [--ledger DIR]
     score  --model DIR --rows JSON --out DIR
 """
 
@@ -19,9 +20,10 @@ from ontime.plans.load import load_files, open_warehouse
 from ontime.plans.reports import REPORTS
 from ontime.plans.training import SPLITS, compare_models, store_comparison
 from ontime.schemas import DELAY_MINUTES, FEATURE_ROW, KEY_SEPARATOR
-from ontime.session import open_session, shared_folder
+from ontime.session import open_session
 from ontime.sinks.jdbc import jdbc_options, write_jdbc
 from ontime.sinks.outputs import load_model
+from ontime.staging import owner, release_all
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -46,8 +48,8 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
         tables["fact_flights"].frame, tables["dim_date"], tables["dim_route"], tables["dim_time"]
     )
     comparison = compare_models(
-        enriched, f"{shared_folder(spark)}/training", partitions=args.partitions,
-        parallelism=args.parallelism, one_hot=not args.compact, split=args.split,
+        enriched, partitions=args.partitions, parallelism=args.parallelism, one_hot=not args.compact, split=args.split,
+        ledger=args.ledger,
     )
     store_comparison(comparison, args.out, args.stamp)
 
@@ -83,6 +85,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--partitions", type=int)
     job.add_argument("--parallelism", type=int, default=PARALLELISM)
     job.add_argument("--split", choices=SPLITS, default="hash")
+    job.add_argument("--ledger", help="folder that keeps the scores of a search; one that was stopped goes on from there")
     job.add_argument("--stamp", help="name of the run in --out; the time by default")
     job.add_argument(
         "--compact", action="store_true",
@@ -99,8 +102,14 @@ def parser() -> argparse.ArgumentParser:
 
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
-    args.run(open_session(), args)
+    spark = open_session()
+    with owner(spark):  # what a job stages goes when it ends, well or not
+        args.run(spark, args)
 
 
 if __name__ == "__main__":
-    main()
+    try:
+        main()
+    finally:
+        if running := SparkSession.getActiveSession():
+            release_all(running)

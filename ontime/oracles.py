@@ -362,7 +362,7 @@ def _trained(model: str, trees: int, fit_rows: int = 500) -> str:
             f"""
 SELECT '{target}' AS target, '{model}' AS model, CAST(least({fit_rows}, count_if(b < 80)) AS BIGINT) AS fit_rows, CAST(count_if(b >= 80) AS BIGINT) AS test_rows,
   CAST({' + '.join(f'count(DISTINCT {c}) FILTER (b < 80)' for c in _CATEGORIES)} + {len(_NUMBERS)} AS INTEGER) AS width,
-  {trees} AS trees, true AS metrics_valid
+  {trees} AS trees, CAST(0 AS BIGINT) AS n_changed_by_nodes
 FROM (SELECT *, {_bucket(label)} AS b FROM model_rows)"""
             for target, label in _LABELS.items()
         ]
@@ -543,6 +543,9 @@ def oracle_sql() -> dict[str, str]:
             + ", ".join(f"round({m}, 9) AS {m}" for m in _METRICS[1:]) + " FROM measured"
         ),
         "eval_auc": _ruled("SELECT target, model, round(auc, 9) AS auc FROM measured"),
+        "eval_planted_model": _sql(
+            "SELECT count(*) AS rows, " + ", ".join(f"CAST(1 AS DOUBLE) AS {m}" for m in _METRICS) + " FROM model_rows"
+        ),
         "best_model": _ruled(
             "SELECT target, model, round(auc, 9) AS auc FROM (SELECT *, row_number() OVER "
             "(PARTITION BY target ORDER BY auc DESC, position) AS place FROM measured) WHERE place = 1"

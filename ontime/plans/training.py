@@ -16,8 +16,10 @@ from ontime.operators.models import (
     FOLDS, GRADIENT_BOOSTING, PARALLELISM, RANDOM_FOREST, Fitted, Learner, evaluate, fit, metrics_table, prepare,
 )
 from ontime.schemas import TARGETS
+from ontime.session import plan_shuffles
 from ontime.sinks.outputs import save_model, write_json
 from ontime.sources.tables import write_table
+from ontime.staging import owner, staged_folder
 
 # How rows are dealt to training and test: by their content, or at random when the table is stored.
 SPLITS = ("hash", "random")
@@ -35,7 +37,7 @@ class Comparison:
 
 def compare_models(
     enriched: DataFrame,
-    folder: str,
+    folder: str | None = None,
     learners: tuple[Learner, ...] = (RANDOM_FOREST, GRADIENT_BOOSTING),
     targets: Mapping[str, str] = TARGETS,
     folds: int = FOLDS,
@@ -43,13 +45,28 @@ def compare_models(
     partitions: int | None = None,
     one_hot: bool = True,
     split: str = "hash",
+    ledger: str | None = None,
 ) -> Comparison:
     """Fit every learner for every target and evaluate on the held-out rows.
 
     The features, all labels and the side that each row is on are stored once, before any fit: joins and
     hashes run once, and a random split stays as it was drawn. Training and test rows of every target
-    are filters on that table.
+    are filters on that table. What is stored for that goes when the models are fitted, or fail to be;
+    in a ``folder`` that the caller names it stays. ``ledger`` keeps the scores of a grid search beyond the
+    run, so that one that was stopped goes on where it ended.
     """
+    spark = enriched.sparkSession
+    plan_shuffles(spark, enriched)
+    with owner(spark):
+        return _compare(
+            enriched, folder or staged_folder(spark, "training"), learners, targets, folds, parallelism, partitions, one_hot, split, ledger
+        )
+
+
+def _compare(
+    enriched: DataFrame, folder: str, learners: tuple[Learner, ...], targets: Mapping[str, str], folds: int, parallelism: int,
+    partitions: int | None, one_hot: bool, split: str, ledger: str | None,
+) -> Comparison:
     started = time.perf_counter()
     table = write_table(feature_table(enriched, targets), f"{folder}/features").frame
     seconds = {"preprocessing": time.perf_counter() - started, "split": 0.0, "training": 0.0, "evaluation": 0.0}
@@ -68,7 +85,7 @@ def compare_models(
         seconds["training"] += time.perf_counter() - at
         try:
             for learner in learners:
-                result = fit(training, learner, folds, parallelism)
+                result = fit(training, learner, folds, parallelism, ledger)
                 fitted[target, learner.name] = result
                 seconds["training"] += result.seconds
                 rows.append((target, result, evaluate(result.model, test, label)))
