@@ -97,6 +97,16 @@ def test_odd_rows(spark):
     assert [tuple(r)[1:] for r in blank] == [(0, 0, 0, 0, 0, 0, "")] * 2
 
 
+def test_ranks_give_the_ids_of_the_tokenizer():
+    rng = random.Random(5)
+    settled = [chr(c) for c in [*range(0x250), *range(0x2010, 0x2028), *range(0x2030, 0x205F), 0x20AC]]
+    common = list(" \n  etaoinsrhld'.,1230\u00a0\u0085\t") + ["'s", "'ll", "  ", "\r\n", " the", "ing"]
+    for k in range(20_000):
+        text = " " + "".join(rng.choices(settled if k % 3 else common, k=rng.randint(1, 30)))
+        assert not alignment._SETTLED.search(text)
+        assert alignment._encoded((A_PATH, B_PATH), text) == A.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_groups_are_given_as_text(spark):
     docs = spark.createDataFrame([(1, "don't stop")], "doc_id bigint, text string")
     row = alignment.aligned_tokens(docs, A_PATH, B_PATH).first()
