@@ -1,7 +1,7 @@
 """Jobs for spark-submit: load the warehouse, write reports, train classifiers.
 
     load   --data DIR --warehouse DIR [--separator SEP] [--delay-minutes N] [--jdbc [--connections N]]
-    report --warehouse DIR --out DIR [NAME ...]
+    report --warehouse DIR [--out DIR] [--database NAME] [NAME ...]
     train  --warehouse DIR --out DIR [--partitions N] [--parallelism N] [--split hash|random] [--compact]
            [--ledger DIR]
     score  --model DIR --rows JSON --out DIR
@@ -22,7 +22,7 @@ from ontime.plans.training import SPLITS, compare_models, store_comparison
 from ontime.schemas import DELAY_MINUTES, FEATURE_ROW, KEY_SEPARATOR
 from ontime.session import open_session
 from ontime.sinks.jdbc import jdbc_options, write_jdbc
-from ontime.sinks.outputs import load_model
+from ontime.sinks.outputs import load_model, store_in_catalog
 from ontime.staging import owner, release_all
 
 
@@ -38,8 +38,12 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     warehouse = open_warehouse(spark, args.warehouse)
-    for name in args.names or REPORTS:
-        REPORTS[name](warehouse).write.mode("overwrite").parquet(f"{args.out}/{name}")
+    built = {name: REPORTS[name](warehouse) for name in args.names or REPORTS}
+    if args.database:
+        store_in_catalog(built, args.database)
+    if args.out:
+        for name, found in built.items():
+            found.write.mode("overwrite").parquet(f"{args.out}/{name}")
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -75,7 +79,8 @@ def parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("report")
     job.set_defaults(run=report)
     job.add_argument("--warehouse", required=True)
-    job.add_argument("--out", required=True)
+    job.add_argument("--out")
+    job.add_argument("--database", help="also, or only, keep the reports as tables of this database of the catalog")
     job.add_argument("names", nargs="*", metavar="NAME", choices=[[], *REPORTS])
 
     job = jobs.add_parser("train")

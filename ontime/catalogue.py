@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from ontime.functions.keys import surrogate_key
 from ontime.operators import metrics, quality, star
-from ontime.operators.features import encoder, hash_split, index_by_tables, index_stage, one_hot_stage
-from ontime.operators.models import GRADIENT_BOOSTING, RANDOM_FOREST, Fitted, Learner, evaluate, plain, score
+from ontime.operators.features import encoder, hash_split, index_by_tables, index_stage, labelled, one_hot_stage
+from ontime.operators.models import GRADIENT_BOOSTING, RANDOM_FOREST, Fitted, Learner, evaluate, plain, prepare, score
 from ontime.operators.trees import score_by_nodes, store_nodes
 from ontime.plans import reports
 from ontime.schemas import AIRPORTS, CATEGORICAL_FEATURES, DELAY_CAUSES, FEATURES, FLIGHTS, TARGETS
@@ -276,6 +276,20 @@ def train_gbt(ws: Workspace) -> DataFrame:
     return _trained(ws, GRADIENT_BOOSTING)
 
 
+def training_frames(ws: Workspace) -> DataFrame:
+    """All training rows of each target as stored for the learners: dealt to four partitions, held in memory, released."""
+    rows = []
+    with owner(ws.spark):
+        for target, label in TARGETS.items():
+            train, _ = labelled(ws.feature_table, label)
+            training = prepare(train, label, staged_folder(ws.spark, "vectors"), partitions=4)
+            held = training.hold()
+            rows.append((target, held.count(), len(training.vectors.inputFiles()), held.is_cached))
+            training.release()
+            rows[-1] += (not training.vectors.is_cached,)
+    return ws.spark.createDataFrame(rows, "target string, n_rows bigint, n_partitions int, held boolean, released boolean")
+
+
 def cv_grid(ws: Workspace) -> DataFrame:
     """Every point of both learners' grids for both targets, and whether the best of them was refitted."""
     rows = []
@@ -357,7 +371,7 @@ _QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
             dim_carrier, dim_airport, dim_date, dim_route, dim_time, fact_flights, delay_reasons,
             sink_star_roundtrip, sink_delays_roundtrip, report_views, rp_monthly_delays_packed_key,
             enriched_flights, features_arrival, features_departure, model_row_counts, split_hash, feature_splits,
-            string_index, string_index_tables, one_hot, feature_vector, train_rf, train_gbt, cv_grid, score_batch, model_roundtrip,
+            string_index, string_index_tables, one_hot, feature_vector, training_frames, train_rf, train_gbt, cv_grid, score_batch, model_roundtrip,
             eval_confusion_metrics, eval_auc, eval_planted_model, best_model, metrics_long, run_metrics_json,
         )
     },

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.functions.keys import hash_bucket
@@ -35,10 +35,16 @@ def feature_frame(enriched: DataFrame, label: str, features: list[str] = FEATURE
     return enriched.select(*features, label).withColumns(flags).na.drop(how="any")
 
 
+def random_bucket(seed: int = SEED) -> Column:
+    """A bucket from 0 to 99 drawn per row. Rows keep theirs while they keep their partitions and order, so a
+    table that is read more than once is stored with its buckets."""
+    return F.floor(F.rand(seed) * 100)
+
+
 def random_split(df: DataFrame, train_share: float = TRAIN_SHARE, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """Row-level random split. Repeatable only while the rows keep their partitions and order."""
-    train, test = df.randomSplit([train_share, 1.0 - train_share], seed=seed)
-    return train, test
+    drawn, limit = df.withColumn("bucket", random_bucket(seed)), round(train_share * 100)
+    return drawn.where(F.col("bucket") < limit).drop("bucket"), drawn.where(F.col("bucket") >= limit).drop("bucket")
 
 
 def with_bucket(df: DataFrame, *key: str) -> DataFrame:

@@ -511,6 +511,13 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {_FEATURES}, " + ", ".join(f"{l}, {_bucket(l)} AS {l}_bucket" for l in [*_LABELS.values(), "is_long_haul"])
             + f" FROM {_LONG_HAUL}"
         ),
+        "training_frames": _sql(
+            _union([
+                f"SELECT '{target}' AS target, count(*) AS n_rows, 4 AS n_partitions, true AS held, true AS released "
+                f"FROM model_rows WHERE {_bucket(label)} < 80"
+                for target, label in _LABELS.items()
+            ])
+        ),
         "train_rf": _sql(_trained("RandomForest", 100)),
         "train_gbt": _sql(_trained("GBT", 50)),
         "cv_grid": _GRIDS,

@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ontime.operators.features import SEED, TRAIN_SHARE, feature_table, labelled
+from ontime.operators.features import SEED, TRAIN_SHARE, feature_table, labelled, random_bucket
 from ontime.operators.metrics import best_model
 from ontime.operators.models import (
     FOLDS, GRADIENT_BOOSTING, PARALLELISM, RANDOM_FOREST, Fitted, Learner, evaluate, fit, metrics_table, prepare,
@@ -72,7 +72,7 @@ def _compare(
     seconds = {"preprocessing": time.perf_counter() - started, "split": 0.0, "training": 0.0, "evaluation": 0.0}
     if split == "random":
         at = time.perf_counter()
-        drawn = {f"{label}_bucket": F.floor(F.rand(SEED + k) * 100) for k, label in enumerate(targets.values())}
+        drawn = {f"{label}_bucket": random_bucket(SEED + k) for k, label in enumerate(targets.values())}
         table = write_table(
             table.withColumns({b: F.when(F.col(b).isNotNull(), drawn[b]) for b in drawn}), f"{folder}/random_split"
         ).frame

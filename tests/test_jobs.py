@@ -42,6 +42,17 @@ def test_reports_are_written(spark, ws, loaded, tmp_path):
     assert {p.name for p in tmp_path.iterdir()} == set(REPORTS)
 
 
+def test_reports_are_kept_in_the_catalog(spark, ws, loaded, tmp_path):
+    spark.sql(f"CREATE DATABASE kept LOCATION '{tmp_path}/kept.db'")
+    try:
+        for _ in range(2):
+            jobs.main(["report", "--warehouse", loaded, "--database", "kept", "rp_carrier_delays"])
+        assert {t.name for t in spark.catalog.listTables("kept") if not t.isTemporary} == {"rp_carrier_delays"}
+        assert rows(spark.newSession().table("kept.rp_carrier_delays")) == rows(REPORTS["rp_carrier_delays"](ws.warehouse))
+    finally:
+        spark.sql("DROP DATABASE kept CASCADE")
+
+
 def test_unknown_reports_and_jobs_are_refused(loaded, tmp_path):
     with pytest.raises(SystemExit):
         jobs.main(["report", "--warehouse", loaded, "--out", str(tmp_path), "nothing"])

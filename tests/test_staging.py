@@ -58,20 +58,25 @@ def test_folders_that_are_still_read_stay(spark):
     assert not on_disk(read) and not staging.staged_folders(spark, "reader")
 
 
+def folders(spark):
+    return set(os.listdir(shared_folder(spark))) - {"checkpoints"}
+
+
 def test_training_leaves_nothing_staged(spark, ws):
-    before, seen = staging.staged_folders(spark), set(os.listdir(shared_folder(spark)))
-    comparison = training.compare_models(ws.enriched, learners=ONE, split="random")
-    assert staging.staged_folders(spark) == before
-    assert set(os.listdir(shared_folder(spark))) <= seen | {"checkpoints"}
+    enriched = ws.enriched
+    before, seen = staging.staged_folders(spark), folders(spark)
+    comparison = training.compare_models(enriched, learners=ONE, split="random")
+    assert staging.staged_folders(spark) == before and folders(spark) == seen
     assert comparison.metrics.count() == len(TARGETS)
 
 
 def test_failed_training_leaves_nothing_staged(spark, ws, monkeypatch):
-    before, seen = staging.staged_folders(spark), set(os.listdir(shared_folder(spark)))
+    enriched = ws.enriched
+    before, seen = staging.staged_folders(spark), folders(spark)
     monkeypatch.setattr(training, "evaluate", lambda *a: 1 / 0)
     with pytest.raises(ZeroDivisionError):
-        training.compare_models(ws.enriched, learners=ONE)
-    assert staging.staged_folders(spark) == before and set(os.listdir(shared_folder(spark))) <= seen | {"checkpoints"}
+        training.compare_models(enriched, learners=ONE)
+    assert staging.staged_folders(spark) == before and folders(spark) == seen
 
 
 def test_a_job_leaves_nothing_staged(spark, tmp_path, monkeypatch):
@@ -149,10 +154,3 @@ def test_a_note_cut_short_is_no_load(spark, ws, tmp_path):
     assert contents(open_warehouse(spark, folder)) == former
     load_some(spark, ws, folder, {"distance": 7})  # takes the number after the broken one
     assert open_warehouse(spark, folder)["dim_route"].first()["distance"] == 7
-
-
-def test_dimensions_are_measured_while_they_are_written(spark, tmp_path):
-    frame = spark.createDataFrame([(1, "abc"), (2, None)], "k int, v string")
-    assert tables.write_table(frame, str(tmp_path / "a"), dimension=True).memory_bytes == tables.measure(frame)
-    assert tables.write_table(frame.limit(0), str(tmp_path / "b"), dimension=True).memory_bytes == 0
-    assert tables.write_table(frame.where("k > 5"), str(tmp_path / "c"), dimension=True).memory_bytes == 0
