@@ -283,8 +283,9 @@ def training_frames(ws: Workspace) -> DataFrame:
         for target, label in TARGETS.items():
             train, _ = labelled(ws.feature_table, label)
             training = prepare(train, label, staged_folder(ws.spark, "vectors"), partitions=4)
+            files = len(training.vectors.inputFiles())
             held = training.hold()
-            rows.append((target, held.count(), len(training.vectors.inputFiles()), held.is_cached))
+            rows.append((target, held.count(), files, held.is_cached))
             training.release()
             rows[-1] += (not training.vectors.is_cached,)
     return ws.spark.createDataFrame(rows, "target string, n_rows bigint, n_partitions int, held boolean, released boolean")

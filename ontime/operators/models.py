@@ -178,13 +178,17 @@ def cross_validate(
         return auc
 
     tasks = [(point, fold) for point in points for fold in range(folds)]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        jobs = [pool.submit(inheritable_thread_target(spark)(score), task) for task in tasks]
-        try:
-            found = [job.result() for job in jobs]
-        except BaseException:
-            pool.shutdown(wait=True, cancel_futures=True)
-            raise
+    rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            jobs = [pool.submit(inheritable_thread_target(spark)(score), task) for task in tasks]
+            try:
+                found = [job.result() for job in jobs]
+            except BaseException:
+                pool.shutdown(wait=True, cancel_futures=True)
+                raise
+    finally:
+        rows.unpersist()
     return [(point, sum(found[k * folds : (k + 1) * folds]) / folds) for k, point in enumerate(points)]
 
 
