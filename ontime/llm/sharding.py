@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ontime.llm.common import stage
 
 SHARDS = 24
-ROUNDS = 8
+# Rounds end when no wish can be granted; as half of the rows move at a time, their number grows with the logarithm of
+# the links. So many that have not settled are an error.
+MOST_ROUNDS = 200
 # A star of copies has at most this part of a shard's even share; more copies make more stars.
 STAR_SHARE = 0.5
 
@@ -41,14 +43,14 @@ def _chance(row: Column, turn: int) -> Column:
     return F.pmod(F.xxhash64(row, F.lit(f"turn {turn}")), F.lit(1 << 20)) / F.lit(float(1 << 20))
 
 
-def propagate(edges: DataFrame, quota: int, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def propagate(edges: DataFrame, quota: int, shards: int = SHARDS, rounds: int = MOST_ROUNDS) -> DataFrame:
     """``(row, label, anchor)`` for every linked row; ``anchor`` is the smallest row it links with, or itself.
 
-    Rows start at a hash of themselves. In each round half of them, by hash, look at where their
-    neighbours are and wish to move where most of them are, if those are more than where they are now.
-    A shard grants wishes, to rows drawn by hash, as far as its linked rows stay within ``quota``; rows
-    without links fill what is left. Only sizes and wishes per shard reach the driver. Rounds end early
-    when no row wishes to move.
+    Rows start at a hash of themselves. In each round they look at where their neighbours are and wish to
+    move where most of them are, if those are more than where they are now. Half of the rows, by hash, may
+    move, so that neighbours do not change places for ever. A shard grants wishes, to rows drawn by hash, as
+    far as its linked rows stay within ``quota``; rows without links fill what is left. Rounds go on until
+    no row wishes to move where there is room. Only sizes and wishes per shard reach the driver.
     """
     both = stage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "neighbours")
     labels = stage(both.select(F.col("a").alias("row")).distinct().withColumn("label", _home(F.col("row"), shards)), "labels")
@@ -64,22 +66,21 @@ def propagate(edges: DataFrame, quota: int, shards: int = SHARDS, rounds: int =
             .where(F.col("top.votes") > F.col("stay"))
             .select(F.col("a").alias("row"), F.col("top.label").alias("to"))
         )
-        wishes = stage(best, "wishes")
-        active = wishes.where(_chance(F.col("row"), turn) < 0.5)
-        wanted = {r["to"]: r["count"] for r in active.groupBy("to").count().collect()}
-        if not wanted:
-            if wishes.isEmpty():
-                break
-            continue
         sizes = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
-        granted = [
-            min(1.0, max(0.0, quota - sizes.get(s, 0)) / max(wanted.get(s, 0), 1)) for s in range(shards)
-        ]
+        room = {s: quota - sizes.get(s, 0) for s in range(shards)}
+        wishes = stage(best.where(F.col("to").isin([s for s in room if room[s] > 0])), "wishes")
+        if wishes.isEmpty():
+            break
+        movers = wishes.where(_chance(F.col("row"), turn) < 0.5)
+        wanted = {r["to"]: r["count"] for r in movers.groupBy("to").count().collect()}
+        granted = [min(1.0, max(0, room[s]) / max(wanted.get(s, 0), 1)) for s in range(shards)]
         share = F.element_at(F.array(*[F.lit(g) for g in granted]), F.col("to") + 1)
-        moves = active.where(_chance(F.col("row"), rounds + turn) < share)
+        moves = movers.where(_chance(F.col("row"), rounds + turn) < share)
         labels = stage(
             labels.join(moves, "row", "left").select("row", F.coalesce("to", "label").alias("label")), "labels"
         )
+    else:
+        raise RuntimeError(f"labels have not settled after {rounds} rounds")
     nearest = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("anchor"))
     return labels.join(nearest.withColumnRenamed("a", "row"), "row")
 
