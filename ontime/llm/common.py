@@ -29,6 +29,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array; a null or blank text has none."""
     trimmed = F.btrim(text, F.lit(SPACE))

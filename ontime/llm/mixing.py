@@ -119,11 +119,12 @@ def copies(docs: DataFrame, source: str = "source", size: Column | None = None,
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """Every row as often as it is taken, in the columns of ``docs``."""
+    """Every row as often as it is taken, in the columns of ``docs``, whatever their names."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc")
     return (
-        copies(docs).where("__copies > 0")
+        copies(docs.select(whole, "doc_id", "source", "text")).where("__copies > 0")
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .select(*docs.columns)
+        .select(*[F.col("__doc")[c].alias(c) for c in docs.columns])
     )
 
 

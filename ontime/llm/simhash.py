@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ontime.llm.common import stage
+from ontime.llm.common import stage, unused_name
 from ontime.llm.components import connected_components
 
 BITS = 64
@@ -277,15 +277,15 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
 
     Of repeated rows with that id, the first in reading order stays.
     """
-    row = "__row"
+    row = unused_name(docs, "row")
     stored = stage(docs.withColumn(row, F.monotonically_increasing_id()), "documents")
     found = stage(
         stored.select(F.col(id_column).cast("bigint").alias("id"), row, F.col(text).alias("text"))
-        .mapInArrow(_fingerprint_rows, f"id bigint, {row} bigint, fp bigint"),
+        .mapInArrow(_fingerprint_rows, "id bigint, row bigint, fp bigint"),
         "fingerprints",
-    )
+    ).withColumnRenamed("row", row)
     grouped = stage(components_of(found), "components")
-    return keep_smallest(stored, grouped, row, "component_id").select(*docs.columns)
+    return keep_smallest(stored, grouped, row, "component_id").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def keep_smallest(stored: DataFrame, grouped: DataFrame, row: str, group: str) -> DataFrame:
