@@ -271,13 +271,20 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     The estimates are drawn from the documents that pass the base rules; those are rejected whose
     squared distance from their group exceeds ``LIMIT``. A null language or source is a group of its
     own; a null or blank text has no words and fails; repeated rows are judged alike; a group of any
-    size has an estimate, as it is pooled with that of all documents; columns of ``docs`` with the
-    names of statistics are replaced; no rows give no rows.
+    size has an estimate, as it is pooled with that of all documents; no rows give no rows. Columns of
+    ``docs`` may have any names; one with the name of a result is not in the result twice, see
+    :func:`keep_good` for all columns as they were.
     """
-    own = statistics(docs, text).withColumns(vector())
-    # Filtered once stored: a filter would be moved below the statistics and compute them again.
-    rows = stage(own.select(*GROUP, *[f"x{i}" for i in range(D)], "base_failed"), "vectors")
-    return _judged(own, rows.where("NOT base_failed").drop("base_failed"))
+    judged = _judged_rows(docs, text)
+    results = [c for c in judged.columns if c not in ("doc", *GROUP)]
+    return judged.select(*[F.col("doc")[c].alias(c) for c in docs.columns if c not in results], *results)
+
+
+def _judged_rows(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Every row as ``doc``, beside its statistics and verdict. Both are stored together, so texts are read once."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *GROUP, F.col(text).alias("text"))
+    own = stage(statistics(rows).withColumns(vector()).drop("text"), "statistics")
+    return _judged(own, own.where(~F.col("base_failed")).select(*GROUP, *[f"x{i}" for i in range(D)]))
 
 
 def judged_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -299,5 +306,6 @@ def _judged(own: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, in the columns of ``docs``."""
-    return judge(docs).where("kept").select(*docs.columns)
+    """The documents that are kept, in the columns of ``docs``, whatever their names."""
+    kept = _judged_rows(docs).where("kept")
+    return kept.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
