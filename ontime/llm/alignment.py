@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache, reduce
@@ -22,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ontime.llm.common import stage
+from ontime.llm.pieces import MARK, check_model, marked_words
 
-MARK = "▁"
 # Pairs whose hash, keys and counts a task holds at once (12 bytes each and a few bits). More pairs are counted
 # and looked up in as many passes as it takes, each over a range of first ids.
 PAIRS_AT_ONCE = 4_000_000
@@ -88,24 +89,35 @@ def token_bytes(a_path: str, b_path: str) -> tuple[list[bytes], list[bytes]]:
 _TOKENS = "id bigint, a binary, b binary, n_groups bigint, groups {}"
 
 
+def _second_ids(paths: tuple[str, str], texts: list[str]) -> list[bytes | None]:
+    """Ids of the second tokenizer as 16-bit numbers, each distinct marked word encoded once; None where bytes get lost."""
+    model, token = _models(*paths)[1], token_bytes(*paths)[1]
+    lone = [model.piece_to_id(MARK)]
+    words = [marked_words(text) for text in texts]
+    distinct = list({word for some in words for word in some})
+    table: dict[str, bytes | None] = {}
+    for word, ids in zip(distinct, model.encode(distinct, num_threads=1)):
+        ids = ids or lone
+        table[word] = array("H", ids).tobytes() if b"".join([token[i] for i in ids]) == (" " + word).encode() else None
+    found = [[table[word] for word in some] for some in words]
+    # A marker in the text itself comes back as a space.
+    return [None if MARK in text or None in parts else b"".join(parts) for text, parts in zip(texts, found)]
+
+
 def _token_rows(paths: tuple[str, str], as_text: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        b_model, b_bytes = _models(*paths)[1], token_bytes(*paths)[1]
+        check_model(_models(*paths)[1])
         for batch in batches:
-            for k in range(0, batch.num_rows, 128):
-                some = batch.slice(k, 128)
+            for k in range(0, batch.num_rows, 512):
+                some = batch.slice(k, 512)
                 texts = [t or "" for t in some.column(1).to_pylist()]
-                a = [_encoded(paths, " " + t) if t else [] for t in texts]
-                b = b_model.encode(texts, num_threads=1)
-                for i, text in enumerate(texts):
-                    if b"".join([b_bytes[x] for x in b[i]]) != (" " + text).encode() and text:
-                        a[i], b[i] = [], []
-                a, b = ([np.array(ids, "<u2") for ids in side] for side in (a, b))
-                n, groups = _groups(paths, a, b)
+                b = _second_ids(paths, texts)
+                a = [array("H", _encoded(paths, " " + t)).tobytes() if t and y is not None else b"" for t, y in zip(texts, b)]
+                b = [y or b"" for y in b]
+                n, groups = _groups(paths, *([np.frombuffer(x, np.uint16) for x in side] for side in (a, b)))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        some.column(0), pa.array([x.tobytes() for x in a], pa.binary()), pa.array([x.tobytes() for x in b], pa.binary()),
-                        pa.array(n, pa.int64()),
+                        some.column(0), pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(n, pa.int64()),
                         pa.array([g.decode() if as_text else hashlib.sha256(g).hexdigest() if g else "" for g in groups], pa.string()),
                     ],
                     ["id", "a", "b", "n_groups", "groups"],
@@ -125,12 +137,14 @@ def _groups(paths: tuple[str, str], a: list[np.ndarray], b: list[np.ndarray]) ->
     a_ids, b_ids = np.concatenate(a), np.concatenate(b)
     a_sizes, b_sizes = _byte_sizes(paths)
     a_end, b_end = np.cumsum(a_sizes[a_ids]), np.cumsum(b_sizes[b_ids])
-    a_last, b_last = _among(a_end, b_end), _among(b_end, a_end)  # the tokens that end a group
+    a_last, b_last = _ends_at(b_end)[a_end], _ends_at(a_end)[b_end]  # the tokens that end a group
     a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
     # A group's tokens of the first tokenizer stand before those of the second.
+    a_after, b_after = np.cumsum(np.bincount(a_group)), np.cumsum(np.bincount(b_group))
+    b_before = np.concatenate(([0], b_after))
     told = np.empty(len(a_ids) + len(b_ids), np.int64)
-    told[np.arange(len(a_ids)) + np.searchsorted(b_group, a_group, "left")] = a_ids + (a_last.astype(np.int64) << 16)
-    told[np.arange(len(b_ids)) + np.searchsorted(a_group, b_group, "right")] = b_ids + (b_last.astype(np.int64) << 17)
+    told[np.arange(len(a_ids)) + b_before[a_group]] = a_ids + (a_last.astype(np.int64) << 16)
+    told[np.arange(len(b_ids)) + a_after[b_group]] = b_ids + (b_last.astype(np.int64) << 17)
     written, out, at = _written(), [], 0
     for x, y in zip(a, b):
         size = len(x) + len(y)
@@ -141,11 +155,11 @@ def _groups(paths: tuple[str, str], a: list[np.ndarray], b: list[np.ndarray]) ->
     return np.diff(ends[stops]), out
 
 
-def _among(values: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Which of some rising numbers are among others."""
-    if not len(other):
-        return np.zeros(len(values), bool)
-    return other[np.minimum(np.searchsorted(other, values), len(other) - 1)] == values
+def _ends_at(ends: np.ndarray) -> np.ndarray:
+    """For each place in a text, whether a token ends there."""
+    flags = np.zeros(ends[-1] + 1 if len(ends) else 1, bool)
+    flags[ends] = True
+    return flags
 
 
 def aligned_tokens(
@@ -176,9 +190,9 @@ def links(a: np.ndarray, b: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray
     Documents lie one after the other, as a document's end is a token's end in both.
     """
     a_end, b_end = np.cumsum(a_sizes[a]), np.cumsum(b_sizes[b])
-    first = np.searchsorted(b_end, a_end - a_sizes[a], "right")
-    last = np.searchsorted(b_end, a_end, "left")
-    n = last - first + 1
+    ended = np.cumsum(_ends_at(b_end), dtype=np.int64)  # tokens of the second that end at a place or before
+    first = ended[a_end - a_sizes[a]]
+    n = ended[a_end - 1] - first + 1
     left = np.repeat(np.arange(len(a)), n)
     return left, np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
 
