@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 # A block ends with the document that reaches so many bytes of text.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 6 << 20
 _ANCHOR = f"{MARK}a"
 _MARKED = re.compile(" +[^ ]*")
 
