@@ -49,13 +49,16 @@ def numbered_turns(turns: DataFrame) -> DataFrame:
     """
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
     digest = F.unhex(F.md5(F.concat(F.octet_length(role).cast("string"), F.lit(":"), role, text).cast("binary")))
-    ordered = stage(
-        turns.where(F.col("conv_id").isNotNull())
-        .select(
+    # Sorting looks at its rows twice, so texts are read and counted before.
+    narrow = stage(
+        turns.where(F.col("conv_id").isNotNull()).select(
             F.col("conv_id").cast("bigint").alias("conv"), "turn", role.alias("role"), digest.alias("digest"),
             word_count(text).alias("words"),
-        )
-        .orderBy("conv", F.asc_nulls_first("turn"), "role", "digest")
+        ),
+        "digests",
+    )
+    ordered = stage(
+        narrow.orderBy("conv", F.asc_nulls_first("turn"), "role", "digest")
         .select("conv", F.monotonically_increasing_id().alias("at"), "digest", "words"),
         "turns",
     ).withColumn("part", F.shiftright("at", 33))
