@@ -1,10 +1,11 @@
-"""Jobs for spark-submit: load the warehouse, write reports, train classifiers.
+"""Jobs for spark-submit: load the warehouse, write reports, train and apply classifiers.
 
     load   --data DIR --warehouse DIR [--separator SEP] [--delay-minutes N] [--jdbc [--connections N]]
     report --warehouse DIR [--out DIR] [--database NAME] [NAME ...]
     train  --warehouse DIR --out DIR [--partitions N] [--parallelism N] [--split hash|random] [--compact]
            [--ledger DIR]
     score  --model DIR --rows JSON --out DIR
+    trees  --model DIR --out DIR    (a saved model's nodes as a table)
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import SparkSession
 
 from ontime.operators.features import enrich
 from ontime.operators.models import PARALLELISM, score
+from ontime.operators.trees import store_nodes
 from ontime.plans.load import load_files, open_warehouse
 from ontime.plans.reports import REPORTS
 from ontime.plans.training import SPLITS, compare_models, store_comparison
@@ -63,6 +65,10 @@ def score_rows(spark: SparkSession, args: argparse.Namespace) -> None:
     score(load_model(args.model), rows).write.mode("overwrite").parquet(args.out)
 
 
+def trees(spark: SparkSession, args: argparse.Namespace) -> None:
+    store_nodes(load_model(args.model).stages[-1], args.out)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="ontime", description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
     jobs = top.add_subparsers(required=True)
@@ -102,6 +108,11 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--model", required=True)
     job.add_argument("--rows", required=True)
     job.add_argument("--out", required=True)
+
+    job = jobs.add_parser("trees")
+    job.set_defaults(run=trees)
+    job.add_argument("--model", required=True)
+    job.add_argument("--out", required=True)
     return top
 
 

@@ -15,6 +15,7 @@ from ontime.operators.joins import attach_dimension
 from ontime.operators.running import running_totals
 from ontime.schemas import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES
 from ontime.sources.tables import Table, write_table
+from ontime.staging import owner
 
 TRAIN_SHARE = 0.8
 SEED = 42
@@ -101,8 +102,10 @@ def category_table(df: DataFrame, column: str, path: str) -> Table:
     """
     value = F.col(column).cast("string")
     counts = df.where(value.isNotNull()).groupBy(value.alias(column)).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_totals(counts, [F.desc("n"), F.asc(column)], {f"{column}_idx": F.lit(1)})
-    return write_table(ranked.withColumn(f"{column}_idx", F.col(f"{column}_idx").cast("double")), path, dimension=True)
+    index = f"{column}_idx"
+    with owner(df.sparkSession):
+        ranked = running_totals(counts, [F.desc("n"), F.asc(column)], {index: F.lit(1)})
+        return write_table(ranked.withColumn(index, F.col(index).cast("double")), path, dimension=True)
 
 
 def index_by_tables(df: DataFrame, dictionaries: Mapping[str, Table]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ontime.operators.running import running_totals
+from ontime.staging import owner
 
 # Metrics of one evaluated model, in report order.
 METRICS = ["auc", "accuracy", "precision", "recall", "f1"]
@@ -51,7 +52,8 @@ def exact_auc(counts: DataFrame, *by: str) -> DataFrame:
 def area_under_roc(counts: DataFrame, bins: int = 0) -> float:
     """Area under the ROC curve of :func:`score_counts`: exact, or over at most ``bins`` thresholds."""
     if not bins:
-        return exact_auc(counts).first()["auc"]
+        with owner(counts.sparkSession):
+            return exact_auc(counts).first()["auc"]
     return BinaryClassificationEvaluator(
         labelCol="label", rawPredictionCol="score", weightCol="n", metricName="areaUnderROC", numBins=bins
     ).evaluate(counts)

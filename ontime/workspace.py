@@ -22,6 +22,7 @@ from ontime.plans.load import Warehouse, load_warehouse
 from ontime.schemas import CATEGORICAL_FEATURES, FLIGHTS, TARGETS
 from ontime.session import shared_folder
 from ontime.sources.tables import Table, write_table
+from ontime.staging import owner, remove
 
 _open: dict[tuple[str, str], Workspace] = {}
 _opening = RLock()
@@ -159,14 +160,24 @@ class Workspace:
     @cached_property
     def rule_metrics(self) -> DataFrame:
         by = ["target", "model", "position"]
-        cells = confusion_metrics(confusion(self.rule_counts, *by)).join(exact_auc(self.rule_counts, *by), by)
-        rows = [
-            (row["target"], Fitted(row["model"], None, 0.0, []), {**row.asDict(), "evaluation_time": 0.0})
-            for row in cells.orderBy("target", "position").collect()
-        ]
+        with owner(self.spark):
+            cells = confusion_metrics(confusion(self.rule_counts, *by)).join(exact_auc(self.rule_counts, *by), by)
+            rows = [
+                (row["target"], Fitted(row["model"], None, 0.0, []), {**row.asDict(), "evaluation_time": 0.0})
+                for row in cells.orderBy("target", "position").collect()
+            ]
         return metrics_table(self.spark, rows)
 
 
+def close_workspace(spark: SparkSession, source: str) -> None:
+    """Remove what the queries on an input folder share; the next one loads it again."""
+    with _opening:
+        found = _open.pop((spark.sparkContext.applicationId, source.rstrip("/")), None)
+    if found:
+        with found.lock:
+            remove(spark, found.folder)
+
+
 def workspace(spark: SparkSession, source: str) -> Workspace:
     key = spark.sparkContext.applicationId, source
     with _opening:

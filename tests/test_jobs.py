@@ -77,6 +77,9 @@ def test_train_and_score(spark, loaded, tmp_path, monkeypatch):
                "--out", str(tmp_path / "scored")])
     scored = spark.read.parquet(str(tmp_path / "scored"))
     assert scored.count() == 2 and scored.columns[-2:] == ["prediction", "delay_probability"]
+    jobs.main(["trees", "--model", str(tmp_path / "run" / "first" / "arrival_GBT"), "--out", str(tmp_path / "nodes")])
+    nodes = spark.read.parquet(str(tmp_path / "nodes"))
+    assert nodes.where("leaf AND value IS NOT NULL").count() == 2 and nodes.where("NOT leaf AND left IS NOT NULL").count() == 1
 
 
 def test_jdbc_load_needs_its_settings(spark, ws, tmp_path, monkeypatch):

@@ -79,6 +79,25 @@ def test_failed_training_leaves_nothing_staged(spark, ws, monkeypatch):
     assert staging.staged_folders(spark) == before and folders(spark) == seen
 
 
+def test_queries_leave_only_what_they_share(spark, folder, tmp_path):
+    from ontime import catalogue
+    from ontime.workspace import close_workspace
+
+    for name in os.listdir(folder):
+        os.symlink(f"{folder}/{name}", tmp_path / name)
+    before, seen = staging.staged_folders(spark), folders(spark)
+    queries, source = catalogue.queries(), str(tmp_path)
+    for name in ("eval_auc", "metrics_long", "string_index_tables", "eval_planted_model", "dim_carrier"):
+        assert queries[name](spark, source).count() > 0
+    assert staging.staged_folders(spark) == before
+    shared = folders(spark) - seen
+    assert len(shared) == 1
+    close_workspace(spark, source)
+    assert folders(spark) == seen
+    assert queries["dim_carrier"](spark, source).count() > 0
+    close_workspace(spark, source)
+
+
 def test_a_job_leaves_nothing_staged(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(jobs, "report", lambda spark, args: put(spark, "report"))
     parser = jobs.parser
