@@ -106,4 +106,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_format": chat.SQL, "op10_source_mix": mixing.SQL}
+    return {"op1_chat_format": chat.SQL, "op10_source_mix": mixing.SQL, "op13_conversation_trie": trie.SQL}

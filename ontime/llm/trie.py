@@ -485,3 +485,45 @@ def conversation_trie(conversations: DataFrame, chunk: int = CHUNK, block: int =
     """
     turns = numbered_turns(conversations.select("conv_id", "turn", "role", "text"))
     return trie(rebuilt(turns), chunk, block, ids)
+
+
+# What conversation_trie returns, as DuckDB SQL over a view ``conversations``: every prefix is written out. The first
+# table steps the CRC of a decimal number bit by bit.
+SQL = f"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, xor(list_reduce(
+      list_concat([4294967295::BIGINT], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: ascii(s)::BIGINT)),
+      lambda crc, byte: list_reduce(
+        list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, step: xor(x >> 1, 3988292384::BIGINT * (x & 1)))
+    ), 4294967295::BIGINT) % {HEADS} AS h
+  FROM (SELECT DISTINCT c FROM turns)
+), rebuilt AS (
+  SELECT v.c, t.pos, t.role, t.text FROM convs v JOIN turns t ON t.c = v.c - v.c % {FAMILY} AND t.pos < v.h
+  UNION ALL SELECT v.c, t.pos, t.role, t.text FROM convs v JOIN turns t ON t.c = v.c AND t.pos >= v.h
+), said AS (
+  SELECT v.c, coalesce(list({{'role': r.role, 'text': r.text}} ORDER BY r.pos) FILTER (WHERE r.pos IS NOT NULL), []) AS turns
+  FROM convs v LEFT JOIN rebuilt r ON r.c = v.c GROUP BY v.c
+), prefixes AS (
+  SELECT c, d, turns[1:d] AS node, d = len(turns) AS ends FROM (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS d FROM said)
+), nodes AS (
+  SELECT node, d, min(c) AS conv_id, count(*) AS n,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY node, d
+), children AS (
+  SELECT node[1:d - 1] AS node, count(*) AS kids FROM nodes WHERE d > 0 GROUP BY 1
+), counted AS (
+  SELECT n.*, coalesce(k.kids, 0) AS kids,
+    CASE WHEN d > 0 THEN (n - 1) * len(regexp_extract_all(n.node[d].text, '[^\\x20\\x09-\\x0D]+')) ELSE 0 END AS own
+  FROM nodes n LEFT JOIN children k ON k.node = n.node
+), sums AS (
+  SELECT node[1:e] AS node, count(*) FILTER (WHERE kids = 0) AS leaves, sum(own) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM counted) GROUP BY 1
+)
+SELECT c.conv_id, c.d AS depth, p.conv_id AS parent_conv_id, c.n AS n_convs, c.kids AS n_children, s.leaves AS n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN sums s ON s.node = c.node LEFT JOIN nodes p ON c.d > 0 AND p.node = c.node[1:c.d - 1]
+"""

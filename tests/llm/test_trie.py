@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import brute
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +75,22 @@ def test_query_equals_plain(spark, folder):
     assert nodes(found) == plain(rows)
 
 
+def sql_nodes(path):
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW conversations AS SELECT * FROM '{path}'")
+    found = connection.sql(trie.SQL)
+    assert found.columns == COLUMNS and set(map(str, found.types)) == {"BIGINT", "VARCHAR"}
+    return Counter(found.fetchall())
+
+
+def test_sql_equals_plain(spark, folder, tmp_path):
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert sql_nodes(f"{folder}/conversations.parquet") == plain(rows)
+    some = [r for r in ODD if r[0] is None or r[0] >= 0] + talk(8, 90, 9)[60:]
+    spark.createDataFrame(some, SCHEMA).write.parquet(str(tmp_path / "odd"))
+    assert sql_nodes(f"{tmp_path}/odd/*.parquet") == plain(some)
+
+
 @pytest.mark.parametrize("chunk,block,ids", [(256, 20_000, 16_384), (2, 3, 2), (3, 1, 1)])
 def test_odd_rows(spark, chunk, block, ids):
     rows = [r for r in ODD if r[0] is None or r[0] >= 0]
