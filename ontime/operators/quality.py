@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from ontime.operators.star import DIMENSION_KEYS, Star
 
 
+# Bytes of the digest that a longer value is counted by.
+DIGEST_BYTES = 16
+
+
 def _stack(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -39,20 +43,22 @@ def profile(df: DataFrame) -> DataFrame:
 def profile_in_one_scan(df: DataFrame) -> DataFrame:
     """The rows of :func:`profile` from one reading of the input, for sources that cannot read a column alone.
 
-    Every row emits a digest of each of its values; they are counted per column and value in the partition
-    before the one shuffle, so a frequent value is one row of each task.
+    Every row emits each of its values, or a digest where that is shorter; they are counted per column and value
+    in the partition before the one shuffle, so a frequent value is one row of each task.
     """
 
-    def digest(name: str, kind: str) -> Column:
+    def short(name: str, kind: str) -> Column:
         value = F.col(name)
         if kind in ("double", "float"):
             value = F.when(value == 0, F.lit(0.0)).otherwise(value)  # the two zeros are equal
         elif kind.startswith(("array", "struct")):
             value = F.to_json(value)
-        return F.when(F.col(name).isNotNull(), F.unhex(F.md5(value.cast("string").cast("binary"))))
+        value = value.cast("string").cast("binary")
+        # A digest has 16 bytes, a value that stands for itself fewer, so the two never meet.
+        return F.when(F.octet_length(value) < DIGEST_BYTES, value).otherwise(F.unhex(F.md5(value)))
 
     cells = F.array(*[
-        F.struct(F.lit(i).alias("position"), digest(name, kind).alias("value")) for i, (name, kind) in enumerate(df.dtypes, start=1)
+        F.struct(F.lit(i).alias("position"), short(name, kind).alias("value")) for i, (name, kind) in enumerate(df.dtypes, start=1)
     ])
     counts = df.select(F.inline(cells)).groupBy("position", "value").agg(F.count(F.lit(1)).alias("n"))
     found = counts.groupBy("position").agg(

@@ -1,3 +1,4 @@
+from helpers import plan, rows
 from ontime.operators import quality
 
 
@@ -21,3 +22,11 @@ def test_sample_is_the_same_on_any_layout(spark):
 
 def test_row_count(spark):
     assert quality.row_count(spark.range(42)).first()["n_rows"] == 42
+
+
+def test_short_values_are_counted_as_themselves_and_long_ones_by_a_digest(spark):
+    texts = ["", "a", "x" * 15, "x" * 16, "x" * 17, "é" * 8, None, "a", "x" * 17]
+    found = quality.profile_in_one_scan(spark.createDataFrame([(t,) for t in texts], "t string"))
+    assert rows(found) == [(1, "t", "string", 9, 1, 6)]
+    # A short value takes its own bytes of the shuffle, and no digest is made of it.
+    assert "octet_length" in plan(found)
