@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ontime.functions.keys import surrogate_key
 from ontime.operators import metrics, quality, star
-from ontime.operators.features import encoder, hash_split, index_by_tables, index_stage, labelled, one_hot_stage
+from ontime.operators.features import encoder, hash_split, index_by_tables, index_stage, labelled, one_hot_stage, width_and_slot
 from ontime.operators.models import GRADIENT_BOOSTING, RANDOM_FOREST, Fitted, Learner, evaluate, plain, prepare, score
 from ontime.operators.trees import score_by_nodes, store_nodes
 from ontime.plans import reports
@@ -219,8 +219,8 @@ def one_hot(ws: Workspace) -> DataFrame:
     encoded = one_hot_stage().fit(indexed).transform(indexed)
     columns = []
     for name in CATEGORICAL_FEATURES:
-        slots = vector_to_array(f"{name}_ohe")
-        columns += [F.size(slots).alias(f"{name}_width"), (F.array_position(slots, 1.0) - 1).alias(f"{name}_slot")]
+        width, slot = width_and_slot(f"{name}_ohe")
+        columns += [width.alias(f"{name}_width"), slot.alias(f"{name}_slot")]
     return encoded.select(*CATEGORICAL_FEATURES, *columns)
 
 

@@ -130,6 +130,16 @@ def one_hot_stage(categorical: list[str] = CATEGORICAL_FEATURES) -> OneHotEncode
     )
 
 
+def width_and_slot(encoded: str) -> tuple[Column, Column]:
+    """The width of a one-hot vector and the slot that is set in it, or -1.
+
+    Both are read from the vector's own parts: as an array it is as long as there are categories, in every row.
+    """
+    parts = F.unwrap_udt(encoded)
+    slot = F.when(F.size(parts["indices"]) > 0, parts["indices"][0]).otherwise(F.when(parts.isNotNull(), -1))
+    return parts["size"], slot.cast("bigint")
+
+
 def encoder(
     categorical: list[str] = CATEGORICAL_FEATURES, numeric: list[str] = NUMERIC_FEATURES, one_hot: bool = True
 ) -> Pipeline:
