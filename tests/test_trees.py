@@ -5,9 +5,13 @@ import os
 import duckdb
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from helpers import plan
 from ontime.operators import models
+from ontime.operators.features import width_and_slot
 from ontime.operators.models import GRADIENT_BOOSTING, RANDOM_FOREST, Learner, cross_validate, fit, prepare
 from ontime.operators.trees import score_by_nodes, store_nodes
 from ontime.sources.tables import Table
@@ -80,6 +84,32 @@ def test_the_node_table_answers_as_the_model_does(spark, frame, tmp_path, learne
     assert len(set(predictions.values())) == 2
 
 
+WIDEST = 2**31 - 1  # as an array, such a vector would be 16 GB
+
+
+@pytest.mark.parametrize("learner", LEARNERS, ids=lambda learner: learner.name)
+def test_rows_are_scored_where_they_are_whatever_the_width(spark, frame, tmp_path, learner):
+    fitted = fit(prepared(frame, str(tmp_path / "vectors"), True), learner)
+    trees = fitted.model.stages[-1]
+    nodes = store_nodes(trees, str(tmp_path / "nodes"))
+    sparse = [SparseVector(trees.numFeatures, {k % trees.numFeatures: 1.0, trees.numFeatures - 2: float(k)}) for k in range(60)]
+    rows = spark.createDataFrame([(k, v) for k, v in enumerate(sparse)], ["row", "features"])
+    dense = spark.createDataFrame([(k, DenseVector(v.toArray())) for k, v in enumerate(sparse)], ["row", "features"])
+    wide = spark.createDataFrame([(k, SparseVector(WIDEST, v.indices, v.values)) for k, v in enumerate(sparse)], ["row", "features"])
+    expected = {r.row: r.prediction for r in trees.transform(rows).collect()}
+    assert "Exchange" not in plan(score_by_nodes(rows, nodes, trees))
+    for table in (nodes, Table(nodes.frame, nodes.path)):
+        for given in (rows, dense, wide):
+            assert {r.row: r.prediction for r in score_by_nodes(given, table, trees).collect()} == expected
+
+
+def test_the_slot_of_a_one_hot_vector_is_read_whatever_its_width(spark):
+    vectors = [(SparseVector(WIDEST, [7], [1.0]),), (SparseVector(3, [], []),), (None,)]
+    schema = T.StructType([T.StructField("v", VectorUDT())])
+    found = spark.createDataFrame(vectors, schema).select(*width_and_slot("v")).collect()
+    assert [tuple(r) for r in found] == [(WIDEST, 7), (3, -1), (None, None)]
+
+
 # -- searches
 
 
