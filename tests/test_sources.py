@@ -4,6 +4,8 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
+from helpers import plan
+from ontime import testbed
 from ontime.schemas import DELAY_CAUSES, FLIGHTS, declare
 from ontime.sources.files import conform, fill_nulls, normalize, scan_csv
 
@@ -85,3 +87,25 @@ def test_csv_scan_reads_only_needed_columns(spark, tmp_path):
 
     path = write(tmp_path / "f.csv", "year,carrier,delay\n2013,AA,1\n")
     assert "ReadSchema: struct<carrier:string>" in plan(conform(scan_csv(spark, path), SMALL).select("carrier"))
+
+
+def test_flights_are_shuffled_without_their_supplier(spark, tmp_path):
+    def store(name, n, *columns):
+        spark.range(n).selectExpr(*columns).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    store("customer", 3, "id c_custkey", "int(id) c_nationkey")
+    store("supplier", 3, "id s_suppkey", "'S' || id s_name", "int(id) s_nationkey")
+    store("orders", 2000, "id o_orderkey", "id % 3 o_custkey", "'1-URGENT' o_orderpriority")
+    store(
+        "lineitem", 4000, "id div 2 l_orderkey", "id l_partkey", "id % 3 l_suppkey", "int(id % 2) l_linenumber", "double(id % 50) l_quantity",
+        "0.08D l_tax", "'R' l_returnflag", "timestamp_ntz'2001-02-03 00:00:00' l_shipdate",
+    )
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        flown = testbed.flights_with_keys(spark, str(tmp_path))
+        blocks = [block for block in plan(flown).split("\n\n") if "hashpartitioning(l_orderkey" in block]
+        assert blocks and not any("s_name" in block for block in blocks)
+        assert flown.count() == 4000 and flown.where("name <> 'S' || (l_partkey % 3)").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
