@@ -1,0 +1,63 @@
+"""What a query stores before it runs: only tables that it reads."""
+
+import os
+from contextlib import contextmanager
+
+from pyspark.sql import functions as F
+
+from ontime import catalogue
+from ontime.workspace import PLANTED, close_workspace, workspace
+
+
+@contextmanager
+def opened(spark, tmp_path):
+    """A workspace over 600 flights of 3 carriers."""
+
+    def store(name, n, *columns):
+        spark.range(n).selectExpr(*columns).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    store("region", 2, "int(id) r_regionkey", "'R' || id r_name")
+    store("nation", 4, "int(id) n_nationkey", "'N' || id n_name", "int(id % 2) n_regionkey")
+    store("customer", 4, "id c_custkey", "int(id) c_nationkey")
+    store("supplier", 3, "id s_suppkey", "'S' || id s_name", "int(id) s_nationkey")
+    store("orders", 300, "id o_orderkey", "id % 4 o_custkey", "concat(1 + id % 5, '-X') o_orderpriority")
+    store(
+        "lineitem", 600, "id div 2 l_orderkey", "id l_partkey", "id % 3 l_suppkey", "int(id % 2) l_linenumber", "double(id % 50) l_quantity",
+        "0.01D l_tax", "'N' l_returnflag", "timestamp_ntz'2001-02-03 00:00:00' + make_dt_interval(int(id % 90)) l_shipdate",
+    )
+    try:
+        yield workspace(spark, str(tmp_path))
+    finally:
+        close_workspace(spark, str(tmp_path))
+
+
+def stored(ws, folder=""):
+    path = f"{ws.folder}/{folder}"
+    return set(os.listdir(path)) if os.path.isdir(path) else set()
+
+
+def test_a_query_on_flights_loads_no_delay_reasons_and_no_second_copy(spark, tmp_path):
+    with opened(spark, tmp_path) as ws:
+        assert catalogue.queries()["flights_summary"](spark, str(tmp_path)).count() == 600
+        assert stored(ws) == {"warehouse"} and "delay_reasons" not in stored(ws, "warehouse")
+        found = ws.warehouse["delay_reasons"].agg(F.sum("total_arrivals")).first()[0]
+        assert found == 600 and "delay_reasons" in stored(ws, "warehouse")
+        assert set(ws.warehouse.star().tables()) == {*ws.warehouse.tables} - {"delay_reasons"}
+
+
+def test_a_scan_of_the_files_needs_no_stored_flights(spark, tmp_path):
+    with opened(spark, tmp_path) as ws:
+        assert catalogue.queries()["conform_schema"](spark, str(tmp_path)).count() == 600
+        assert stored(ws) == {"csv"}
+        direct = ws.flights.collect()
+        assert sorted(map(str, direct)) == sorted(map(str, ws.stored_flights.collect()))
+
+
+def test_a_label_hashes_rows_for_itself_only(spark, tmp_path):
+    with opened(spark, tmp_path) as ws:
+        alone = [frame.count() for frame in ws.labelled(PLANTED)]
+        assert "features" not in stored(ws) and sum(alone) == 600
+        assert {c for c in ws._planted_features.columns if c.endswith("_bucket")} == {f"{PLANTED}_bucket"}
+        before = [sorted(map(str, frame.collect())) for frame in ws.labelled(PLANTED)]
+        assert ws.feature_table.count() == 600
+        assert [sorted(map(str, frame.collect())) for frame in ws.labelled(PLANTED)] == before
