@@ -192,3 +192,14 @@ def test_flight_list_does_not_shuffle_the_facts(ws):
     text = plan(listed)
     assert text.count("BroadcastHashJoin Inner BuildRight") >= 4
     assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
+
+
+def test_flight_list_repeats_flights_for_shared_carrier_codes_after_all_other_lookups(spark):
+    """A code with several names multiplies flights; date, route and time are then already found, once a flight."""
+    found = flights(spark, *[{"name": name, "flight": k} for k, name in enumerate("Alpha Beta Gamma".split())])
+    built = build_star(found, spark.createDataFrame([], AIRPORTS))
+    dims = built.dim_carrier, built.dim_date, built.dim_route, built.dim_time
+    listed = reports.flight_list(built.fact_flights, *dims)
+    assert rows(listed.groupBy("flight_number").agg(F.count_distinct("carrier_name"), F.count("*"))) == [(k, 3, 3) for k in range(3)]
+    keys = [block.split("Left keys [1]: [")[1].split("#")[0] for block in plan(listed).split("\n\n") if "Left keys [1]: [" in block]
+    assert keys == ["date_code", "route_key", "time_id", "carrier_code"]
