@@ -1,6 +1,7 @@
 """Fitted trees as node tables, scored by joins here and by another engine; searches that were stopped."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -178,3 +179,44 @@ def test_copies_of_a_row_are_in_one_fold(spark, frame, tmp_path):
     folded = models.with_fold(training, 3)
     assert folded.groupBy("features", LABEL).agg(F.countDistinct("fold").alias("n")).where("n > 1").isEmpty()
     assert sorted(r.fold for r in folded.select("fold").distinct().collect()) == [0, 1, 2]
+
+
+# Rows of a few of many categories: most slots hold the same value in all of them.
+def _few_of_many(spark, frame, path):
+    many = [(f"M{k}",) for k in range(300)]
+    wide = frame.where(F.col("hour") < 3).drop("carrier").join(spark.createDataFrame(many, "carrier string")).select(*frame.columns)
+    return prepare(wide, LABEL, path, partitions=1, categorical=["carrier", "origin"], numeric=["distance", "hour"], fit_rows=60)
+
+
+@pytest.mark.parametrize("learner", [SEARCH, Learner("RandomForest", RANDOM_FOREST.kind, {"numTrees": 3}, {"maxDepth": [2]})])
+def test_a_search_fits_boosted_trees_on_the_slots_that_vary(spark, frame, tmp_path, monkeypatch, learner):
+    training = _few_of_many(spark, frame, str(tmp_path / "vectors"))
+    width, fit_width, kind = training.vectors.first().features.size, [], learner.kind
+    original = kind.fit
+
+    def seen(self, rows, *a):
+        fit_width.append(rows.first().features.size)
+        return original(self, rows, *a)
+
+    monkeypatch.setattr(kind, "fit", seen)
+    found = cross_validate(training, learner, folds=2)
+    monkeypatch.setattr(models, "without_constant_slots", lambda rows: rows)
+    narrow, fit_width[:] = set(fit_width), []
+    assert cross_validate(training, learner, folds=2) == found and set(fit_width) == {width}
+    # A forest draws slots by their number, so it sees all of them.
+    assert narrow == {width} if learner is not SEARCH else max(narrow) < 100 < 300 < width
+
+
+def test_trees_without_constant_slots_are_the_same_trees(spark, frame, tmp_path):
+    training = _few_of_many(spark, frame, str(tmp_path / "vectors"))
+    narrow = models.without_constant_slots(training.vectors)
+    assert narrow.columns[0] != "__whole" and set(narrow.columns) == set(training.vectors.columns)
+    grown = GRADIENT_BOOSTING.kind(labelCol=training.label, maxIter=4, maxDepth=4, seed=1)
+    ends = training.vectors.agg(F.collect_list("features")).first()[0]
+    kept = [k for k in range(ends[0].size) if k == 0 or len({v[k] for v in ends}) > 1]
+    whole, cut = grown.fit(training.vectors), grown.fit(narrow)
+
+    def named(model, names):
+        return [re.sub(r"feature (\d+)", lambda m: f"feature {names[int(m[1])]}", tree.toDebugString).split("\n", 1)[1] for tree in model.trees]
+
+    assert named(cut, kept) == named(whole, range(ends[0].size))
