@@ -114,6 +114,8 @@ def test_flights_are_shuffled_without_their_supplier(spark, tmp_path):
         flown = testbed.flights_with_keys(spark, str(tmp_path))
         blocks = [block for block in plan(flown).split("\n\n") if "hashpartitioning(l_orderkey" in block]
         assert blocks and not any("s_name" in block for block in blocks)
+        narrow = [block for block in plan(flown.select(*FLIGHTS.fieldNames())).split("\n\n") if "hashpartitioning(l_orderkey" in block]
+        assert narrow and not any(wide in block for block in narrow for wide in ("l_shipdate", "l_tax", "l_returnflag", "l_linenumber"))
         assert flown.count() == 4000 and flown.where("name <> 'S' || (l_partkey % 3)").isEmpty()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
