@@ -6,6 +6,7 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from ontime import catalogue
+from ontime.operators.features import feature_table
 from ontime.workspace import PLANTED, close_workspace, workspace
 
 
@@ -61,3 +62,19 @@ def test_a_label_hashes_rows_for_itself_only(spark, tmp_path):
         before = [sorted(map(str, frame.collect())) for frame in ws.labelled(PLANTED)]
         assert ws.feature_table.count() == 600
         assert [sorted(map(str, frame.collect())) for frame in ws.labelled(PLANTED)] == before
+
+
+def test_features_store_only_what_they_read_of_a_flight(spark, tmp_path):
+    with opened(spark, tmp_path) as ws:
+        narrow = ws._planted_features
+        assert stored(ws) == {"features_planted_star", "features_planted"}
+        assert stored(ws, "features_planted_star") == {"flights", "dim_date", "dim_route", "dim_time"}
+        kept = spark.read.parquet(f"{ws.folder}/features_planted_star/flights").columns
+        assert not {"tailnum", "name", "flight", "dep_delay", "route_key", "date_code"} & {*kept}
+        targets = ws._target_features
+        assert ws.planted.count() == 600
+        same = [(narrow, [PLANTED]), (targets, ["is_arrival_delayed", "is_departure_delayed"])]
+        for frame, labels in same:
+            whole = ws.enriched.withColumn(PLANTED, F.col("distance") > 1000)
+            expected = feature_table(whole, {label: label for label in labels}).select(*frame.columns)
+            assert sorted(map(str, frame.collect())) == sorted(map(str, expected.collect()))
