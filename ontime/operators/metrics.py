@@ -13,13 +13,13 @@ from ontime.staging import owner
 METRICS = ["auc", "accuracy", "precision", "recall", "f1"]
 
 
-def score_counts(scored: DataFrame, label: str, score: Column, *by: str) -> DataFrame:
+def score_counts(scored: DataFrame, label: str, score: Column, *by: str, rows: Column | None = None) -> DataFrame:
     """Rows per label, prediction and distinct score: all that the metrics below need.
 
-    Equal scores are combined before anything is shuffled.
+    Equal scores are combined before anything is shuffled. ``rows`` tells how many rows each one stands for.
     """
     keys = [*by, F.col(label).alias("label"), F.col("prediction"), score.alias("score")]
-    return scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return scored.groupBy(*keys).agg((F.count(F.lit(1)) if rows is None else F.sum(rows)).alias("n"))
 
 
 def exact_auc(counts: DataFrame, *by: str) -> DataFrame:

@@ -64,6 +64,19 @@ def test_a_label_hashes_rows_for_itself_only(spark, tmp_path):
         assert [sorted(map(str, frame.collect())) for frame in ws.labelled(PLANTED)] == before
 
 
+def test_rules_are_counted_without_a_warehouse(spark, tmp_path):
+    with opened(spark, tmp_path) as ws:
+        found = catalogue.queries()["run_metrics_json"](spark, str(tmp_path)).collect()
+        assert stored(ws) == {"rule_flights", "rule_times", "rule_counts", "run_metrics"}
+        counted = ws.rule_counts.groupBy("target", "model").agg(F.sum("n").alias("n")).collect()
+        assert len(counted) == 6 and {row["n"] for row in counted} == {ws.enriched.count()} == {600}
+        late = ws.enriched.agg(F.sum(F.col("is_arrival_delayed").cast("int"))).first()[0]
+        assert ws.rule_counts.where("target = 'arrival' AND model = 'flown_time' AND label = 1").agg(F.sum("n")).first()[0] == late
+    with opened(spark, tmp_path / "loaded") as ws:
+        assert ws.warehouse.flights.frame.count() == 600
+        assert sorted(map(str, catalogue.queries()["run_metrics_json"](spark, str(tmp_path / "loaded")).collect())) == sorted(map(str, found))
+
+
 def test_features_store_only_what_they_read_of_a_flight(spark, tmp_path):
     with opened(spark, tmp_path) as ws:
         narrow = ws._planted_features
