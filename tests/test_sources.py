@@ -119,3 +119,10 @@ def test_flights_are_shuffled_without_their_supplier(spark, tmp_path):
         assert flown.count() == 4000 and flown.where("name <> 'S' || (l_partkey % 3)").isEmpty()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_flights_are_not_broadcast_where_few_of_their_columns_are_read(spark, folder):
+    from ontime import testbed
+
+    narrow = plan(testbed.flights(spark, folder).select("carrier", "year", "hour"))
+    assert "SortMergeJoin" in narrow and "BuildLeft" not in narrow
